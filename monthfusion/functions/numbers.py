@@ -38,3 +38,18 @@ def number(text: Column) -> Column:
 def whole(value: Column) -> Column:
     """Double cut to its whole part; NULL when it does not fit an int."""
     return F.when(~F.isnan(value), value.try_cast("int"))
+
+
+def cast_text(text: Column, type_: str) -> Column:
+    """Text as a typed value, NULL where it does not fit.
+
+    Whole numbers may carry a fraction of zero, as columns with gaps do when
+    they are exported as floating point.
+    """
+    if type_ == "string":
+        return text
+    value = text.try_cast(type_)
+    if type_ in ("int", "bigint"):
+        real = text.try_cast("double")
+        value = F.coalesce(value, F.when(real == F.floor(real), real.try_cast(type_)))
+    return value
