@@ -387,7 +387,7 @@ ORACLES = {
     "contract_columns": f"{sql.gold()} "
     + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", {c not in _ABSENT} AS present,"
-        f" {'CAST(0 AS BIGINT)' if c in _ABSENT else f'count({c})'} AS filled FROM gold"
+        f" {'CAST(0 * count(*) AS BIGINT)' if c in _ABSENT else f'count({c})'} AS filled FROM gold"
         for c in EXPECTED.columns
     ),
 }

@@ -61,7 +61,7 @@ def contract_checks(gold: DataFrame, expected: TableExpectation) -> DataFrame:
     )
     facts = keys.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.count_if("n > 1").alias("duplicate_keys"),
+        F.count_if(F.col("n") > 1).alias("duplicate_keys"),
         F.min("year").alias("first_year"),
         F.max("year").alias("last_year"),
         F.count_distinct("county").alias("county_count"),
