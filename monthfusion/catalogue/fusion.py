@@ -90,16 +90,16 @@ def observation_month(spark, sf_dir):
         keys.select(
             F.col("Year").alias("year"),
             F.col("Month").alias("month"),
-            county_title(F.col("County")).alias("county"),
-            month_start(F.col("Year"), F.col("Month")).alias("observation_month"),
+            F.expr(county_title("County")).alias("county"),
+            F.expr(month_start("Year", "Month")).alias("observation_month"),
         )
     )
 
 
 def county_normalize(spark, sf_dir):
-    text = F.concat(F.lit(" "), F.upper("c_name"), F.lit("  "), F.col("c_mktsegment"), F.lit("x "))
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", county_title(text).alias("title"), county_fold(text).alias("folded")
+    text = "concat(' ', upper(c_name), '  ', c_mktsegment, 'x ')"
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", f"{county_title(text)} AS title", f"{county_fold(text)} AS folded"
     )
 
 

@@ -2,44 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-# Java's \s is ASCII only; (?U) widens it to Unicode white space, and the four
-# information separators complete the set.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-
-
-def column(name: str) -> Column:
-    """A column by exact name, which may hold spaces or dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def county_title(c: Column) -> Column:
+# Every character counted as white space.
+WHITE_SPACE = "".join(
+    chr(c)
+    for c in (
+        *range(0x09, 0x0E),
+        *range(0x1C, 0x21),
+        *(0x85, 0xA0, 0x1680),
+        *range(0x2000, 0x200B),
+        *(0x2028, 0x2029, 0x202F, 0x205F, 0x3000),
+    )
+)
+
+
+def county_title(c: str) -> str:
     """Display form of a county name: outer spaces off, words capitalised."""
-    return F.initcap(F.trim(c))
+    return f"initcap(trim({c}))"
 
 
-def strip(c: Column) -> Column:
+def strip(c: str) -> str:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return f"btrim({c}, '{WHITE_SPACE}')"
 
 
-def county_fold(c: Column) -> Column:
+def county_fold(c: str) -> str:
     """Case-blind form of a county name.
 
     Upper then lower case folds the letters that lower case alone keeps apart
     (sharp s, ligatures, long s).  Lower-casing sigma by hand in between avoids
     its word-final form, and keeps the optimizer from dropping the upper case.
     """
-    return F.lower(F.translate(F.upper(strip(c)), "Σ", "σ"))
+    return f"lower(translate(upper({strip(c)}), 'Σ', 'σ'))"
 
 
-def month_start(year: Column, month: Column) -> Column:
+def month_start(year: str, month: str) -> str:
     """First day of a month; NULL where year or month is no calendar value.
 
     ``make_date`` raises on month 13, which would hide the row from the quality
     rules, so impossible values are kept away from it.
     """
-    possible = month.between(1, 12) & year.between(1, 9999)
-    return F.when(possible, F.make_date(year, month, F.lit(1)))
+    return (
+        f"CASE WHEN {month} BETWEEN 1 AND 12 AND {year} BETWEEN 1 AND 9999"
+        f" THEN make_date({year}, {month}, 1) END"
+    )

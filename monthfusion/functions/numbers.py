@@ -7,40 +7,35 @@ cast only converts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from monthfusion.functions.keys import strip
-
-# Accepted spellings of numbers.
+# Accepted spellings of numbers, and of values that are none.
 DECIMAL = (
-    r"^[+-]?(?:[0-9]+(?:_[0-9]+)*\.?(?:[0-9]+(?:_[0-9]+)*)?|\.[0-9]+(?:_[0-9]+)*)"
-    r"(?:[eE][+-]?[0-9]+(?:_[0-9]+)*)?$"
+    "^[+-]?([0-9]+(_[0-9]+)*[.]?([0-9]+(_[0-9]+)*)?|[.][0-9]+(_[0-9]+)*)"
+    "([eE][+-]?[0-9]+(_[0-9]+)*)?$"
 )
-NOT_FINITE = r"(?i)^[+-]?(?:inf|infinity|nan)$"
+NOT_FINITE = "^[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$"
 
 
-def is_blank(text: Column) -> Column:
-    """True for NULL, empty and white-space-only text."""
-    return F.coalesce(strip(text) == "", F.lit(True))
+def is_blank(stripped: str) -> str:
+    """True for missing and empty text; outer white space must be off."""
+    return f"coalesce({stripped} = '', true)"
 
 
-def number(text: Column) -> Column:
+def number(stripped: str) -> str:
     """Text as double: NULL when it is no number, NaN when it is not finite."""
-    t = strip(text)
-    value = F.replace(t, F.lit("_"), F.lit("")).try_cast("double")
-    finite = F.abs(value) < F.lit(float("inf"))
-    return F.when(
-        t.rlike(DECIMAL), F.when(finite, value).otherwise(F.lit(float("nan")))
-    ).when(t.rlike(NOT_FINITE), F.lit(float("nan")))
+    value = f"try_cast(replace({stripped}, '_', '') AS DOUBLE)"
+    return (
+        f"CASE WHEN {stripped} RLIKE '{DECIMAL}'"
+        f" THEN CASE WHEN abs({value}) < double('Infinity') THEN {value} ELSE double('NaN') END"
+        f" WHEN {stripped} RLIKE '{NOT_FINITE}' THEN double('NaN') END"
+    )
 
 
-def whole(value: Column) -> Column:
+def whole(value: str) -> str:
     """Double cut to its whole part; NULL when it does not fit an int."""
-    return F.when(~F.isnan(value), value.try_cast("int"))
+    return f"CASE WHEN NOT isnan({value}) THEN try_cast({value} AS INT) END"
 
 
-def cast_text(text: Column, type_: str) -> Column:
+def cast_text(text: str, type_: str) -> str:
     """Text as a typed value, NULL where it does not fit.
 
     Whole numbers may carry a fraction of zero, as columns with gaps do when
@@ -48,8 +43,11 @@ def cast_text(text: Column, type_: str) -> Column:
     """
     if type_ == "string":
         return text
-    value = text.try_cast(type_)
+    value = f"try_cast({text} AS {type_})"
     if type_ in ("int", "bigint"):
-        real = text.try_cast("double")
-        value = F.coalesce(value, F.when(real == F.floor(real), real.try_cast(type_)))
+        real = f"try_cast({text} AS DOUBLE)"
+        value = (
+            f"coalesce({value}, CASE WHEN {real} = floor({real})"
+            f" THEN try_cast({real} AS {type_}) END)"
+        )
     return value

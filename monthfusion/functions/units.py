@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def speed(u: Column, v: Column) -> Column:
+def speed(u: str, v: str) -> str:
     """Length of a vector given by its two components."""
-    return F.sqrt(F.pow(u, F.lit(2.0)) + F.pow(v, F.lit(2.0)))
+    return f"sqrt(pow({u}, 2D) + pow({v}, 2D))"
 
 
-def celsius(kelvin: Column) -> Column:
-    return kelvin - F.lit(273.15)
+def celsius(kelvin: str) -> str:
+    return f"({kelvin}) - 273.15D"
 
 
-def millimetre(metre: Column) -> Column:
-    return metre * F.lit(1000.0)
+def millimetre(metre: str) -> str:
+    return f"({metre}) * 1000D"
 
 
-UNITS: dict[str, Callable[..., Column]] = {
+UNITS: dict[str, Callable[..., str]] = {
     "speed": speed,
     "celsius": celsius,
     "millimetre": millimetre,

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from monthfusion.contracts import TableExpectation
+from monthfusion.functions import literal, quoted
 
 
 def column_presence(df: DataFrame, expected: TableExpectation) -> DataFrame:
@@ -16,18 +15,13 @@ def column_presence(df: DataFrame, expected: TableExpectation) -> DataFrame:
     ``filled`` counts the rows with a value; absent columns have none.
     """
     present = [c for c in expected.columns if c in df.columns]
-    filled = df.agg(*(F.count(c).alias(c) for c in present))
-    rows = F.array(
-        *(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(c in present).alias("present"),
-                (F.col(c) if c in present else F.lit(0)).cast("bigint").alias("filled"),
-            )
-            for c in expected.columns
-        )
+    filled = df.agg(*(F.expr(f"count({quoted(c)}) AS {quoted(c)}") for c in present))
+    rows = ", ".join(
+        f"named_struct('column', {literal(c)}, 'present', {str(c in present).lower()},"
+        f" 'filled', {quoted(c) if c in present else '0L'})"
+        for c in expected.columns
     )
-    return filled.select(F.inline(rows))
+    return filled.selectExpr(f"inline(array({rows}))")
 
 
 def described_columns(df: DataFrame) -> DataFrame:
@@ -36,15 +30,12 @@ def described_columns(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, type string")
 
 
-def _row(name: str, observed: Column, expected: int | None) -> Column:
-    wanted = F.lit(expected).cast("bigint")
-    observed = observed.cast("bigint")
-    passed = F.lit(True) if expected is None else observed.eqNullSafe(wanted)
-    return F.struct(
-        F.lit(name).alias("check"),
-        observed.alias("observed"),
-        wanted.alias("expected"),
-        passed.alias("passed"),
+def _row(name: str, observed: str, expected: int | None) -> str:
+    wanted = "NULL" if expected is None else str(expected)
+    passed = "true" if expected is None else f"coalesce({observed} = {expected}, false)"
+    return (
+        f"named_struct('check', '{name}', 'observed', CAST({observed} AS BIGINT),"
+        f" 'expected', CAST({wanted} AS BIGINT), 'passed', {passed})"
     )
 
 
@@ -54,29 +45,29 @@ def contract_checks(gold: DataFrame, expected: TableExpectation) -> DataFrame:
     Rows are combined per key first, so repeated keys show as groups larger than
     one and the remaining checks run over keys.
     """
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in expected.key])
-    failed = reduce(lambda a, b: a | b, [~F.col(f) for f in expected.flags], F.lit(False))
+    null_key = " OR ".join(f"{quoted(k)} IS NULL" for k in expected.key)
+    failed = " OR ".join(f"NOT {quoted(f)}" for f in expected.flags) or "false"
     keys = gold.groupBy(*expected.key).agg(
-        F.count("*").alias("n"), F.count_if(failed).alias("failed")
+        F.expr("count(*) AS n"), F.expr(f"count_if({failed}) AS failed")
     )
     facts = keys.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-        F.count_if(F.col("n") > 1).alias("duplicate_keys"),
-        F.min("year").alias("first_year"),
-        F.max("year").alias("last_year"),
-        F.count_distinct("county").alias("county_count"),
-        F.coalesce(F.sum(F.when(null_key, F.col("n"))), F.lit(0)).alias("null_keys"),
-        F.coalesce(F.sum("failed"), F.lit(0)).alias("failed_flags"),
+        F.expr("coalesce(sum(n), 0L) AS row_count"),
+        F.expr("count_if(n > 1) AS duplicate_keys"),
+        F.expr("min(year) AS first_year"),
+        F.expr("max(year) AS last_year"),
+        F.expr("count(DISTINCT county) AS county_count"),
+        F.expr(f"coalesce(sum(CASE WHEN {null_key} THEN n END), 0L) AS null_keys"),
+        F.expr("coalesce(sum(failed), 0L) AS failed_flags"),
     )
     missing = len(set(expected.columns) - set(gold.columns))
-    rows = F.array(
-        _row("row_count", F.col("row_count"), expected.row_count),
-        _row("unique_keys", F.col("duplicate_keys"), 0),
-        _row("first_year", F.col("first_year"), expected.first_year),
-        _row("last_year", F.col("last_year"), expected.last_year),
-        _row("county_count", F.col("county_count"), expected.county_count),
-        _row("null_keys", F.col("null_keys"), 0),
-        _row("flags", F.col("failed_flags"), 0),
-        _row("missing_columns", F.lit(missing), 0),
+    rows = (
+        _row("row_count", "row_count", expected.row_count),
+        _row("unique_keys", "duplicate_keys", 0),
+        _row("first_year", "first_year", expected.first_year),
+        _row("last_year", "last_year", expected.last_year),
+        _row("county_count", "county_count", expected.county_count),
+        _row("null_keys", "null_keys", 0),
+        _row("flags", "failed_flags", 0),
+        _row("missing_columns", str(missing), 0),
     )
-    return facts.select(F.inline(rows))
+    return facts.selectExpr(f"inline(array({', '.join(rows)}))")

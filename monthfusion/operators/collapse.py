@@ -6,38 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthfusion.contracts import SourceContract, attribute_order
-from monthfusion.functions.keys import column, county_title, month_start
+from monthfusion.functions import quoted
+from monthfusion.functions.keys import county_title, month_start
 from monthfusion.functions.units import UNITS
 
 EXACT = "exact"
 GATE = "gate"
 
+KEY_EXPRESSIONS = ("Year AS year", "Month AS month", f"{county_title('County')} AS county")
+
 
 def compared_columns(source: SourceContract) -> list[str]:
     """Raw columns that must not vary within one key."""
     return [source.outcome, *(a.raw for a in source.attributes)]
 
 
-def _key() -> list[Column]:
-    return [
-        F.col("Year").alias("year"),
-        F.col("Month").alias("month"),
-        county_title(F.col("County")).alias("county"),
-    ]
+def _columns(expressions: list[str]) -> list[Column]:
+    return [F.expr(e) for e in expressions]
+
 
+def _largest(values: list[str]) -> str:
+    return f"greatest({', '.join(values)})" if len(values) > 1 else values[0]
 
-def _largest(values: list[Column]) -> Column:
-    return F.greatest(*values) if len(values) > 1 else values[0]
 
+def _exact_distinct(names: list[str]) -> str:
+    return _largest([f"count(DISTINCT {quoted(c)})" for c in names]) + " AS distinct_value_max"
 
-def _at_most_two(low: Column, high: Column) -> Column:
+
+def _at_most_two(name: str) -> str:
     """Distinct values from a minimum and a maximum: 0, 1, or 2 for "several"."""
-    return (
-        F.when(high.isNull(), F.lit(0))
-        .when(low.eqNullSafe(high), F.lit(1))
-        .otherwise(F.lit(2))
-        .cast("bigint")
-    )
+    low, high = f"min({quoted(name)})", f"max({quoted(name)})"
+    return f"CASE WHEN {high} IS NULL THEN 0L WHEN {low} <=> {high} THEN 1L ELSE 2L END"
 
 
 def distinct_value_max(
@@ -51,43 +50,32 @@ def distinct_value_max(
     Spark runs by expanding every row once per column) work on that only.
     """
     names = columns or compared_columns(source)
-    unique = bronze.select(*_key(), *(column(c) for c in names)).distinct()
-    counts = [F.count_distinct(column(c)) for c in names]
-    return unique.groupBy("year", "month", "county").agg(
-        _largest(counts).alias("distinct_value_max")
-    )
+    unique = bronze.selectExpr(*KEY_EXPRESSIONS, *map(quoted, names)).distinct()
+    return unique.groupBy("year", "month", "county").agg(F.expr(_exact_distinct(names)))
 
 
 def _group(bronze: DataFrame, source: SourceContract, distinct: str) -> DataFrame:
     names = compared_columns(source)
-    tops = [F.max(column(c)).alias(c) for c in names]
+    tops = [f"max({quoted(c)}) AS {quoted(c)}" for c in names]
     if distinct == GATE:
-        spread = [_at_most_two(F.min(column(c)), F.max(column(c))) for c in names]
-        return bronze.groupBy(*_key()).agg(
-            *tops,
-            F.count("*").alias("source_row_count"),
-            _largest(spread).alias("distinct_value_max"),
-            F.max("source_file").alias("source_file"),
-            F.max("ingested_at").alias("latest_ingested_at"),
+        return bronze.groupBy(*_columns(KEY_EXPRESSIONS)).agg(
+            *_columns(tops),
+            F.expr("count(*) AS source_row_count"),
+            F.expr(_largest([_at_most_two(c) for c in names]) + " AS distinct_value_max"),
+            F.expr("max(source_file) AS source_file"),
+            F.expr("max(ingested_at) AS latest_ingested_at"),
         )
     if distinct != EXACT:
         raise ValueError(f"distinct must be {EXACT!r} or {GATE!r}, not {distinct!r}")
-    unique = bronze.groupBy(*_key(), *(column(c) for c in names), "source_file").agg(
-        F.count("*").alias("n"), F.max("ingested_at").alias("at")
-    )
+    unique = bronze.groupBy(
+        *_columns(KEY_EXPRESSIONS), *_columns([quoted(c) for c in names]), "source_file"
+    ).agg(F.expr("count(*) AS n"), F.expr("max(ingested_at) AS at"))
     return unique.groupBy("year", "month", "county").agg(
-        *tops,
-        F.sum("n").alias("source_row_count"),
-        _largest([F.count_distinct(column(c)) for c in names]).alias("distinct_value_max"),
-        F.max("source_file").alias("source_file"),
-        F.max("at").alias("latest_ingested_at"),
-    )
-
-
-def with_units(df: DataFrame, source: SourceContract) -> DataFrame:
-    """Add the derived unit columns to cleaned attributes."""
-    return df.withColumns(
-        {d.name: UNITS[d.unit](*(F.col(c) for c in d.inputs)) for d in source.derived}
+        *_columns(tops),
+        F.expr("sum(n) AS source_row_count"),
+        F.expr(_exact_distinct(names)),
+        F.expr("max(source_file) AS source_file"),
+        F.expr("max(at) AS latest_ingested_at"),
     )
 
 
@@ -100,27 +88,23 @@ def collapse(bronze: DataFrame, source: SourceContract, distinct: str = EXACT) -
     every key that passes the rule "at most one", so it is what a fail-closed
     update needs.
     """
-    grouped = _group(bronze, source, distinct)
-    cleaned = {source.outcome: source.count_column}
-    selected = [
-        "year",
-        "month",
-        month_start(F.col("year"), F.col("month")).alias("observation_month"),
-        "county",
-        column(source.outcome).alias(cleaned[source.outcome]),
-    ]
-    for a in source.attributes:
-        value = column(a.raw)
-        selected.append((value.cast(a.cast) if a.cast else value).alias(a.name))
-    tail = ["source_row_count", "distinct_value_max", "source_file", "latest_ingested_at"]
-    order = attribute_order(source)
-    return with_units(grouped.select(*selected, *tail), source).select(
+    value = {
+        a.name: f"CAST({quoted(a.raw)} AS {a.cast})" if a.cast else quoted(a.raw)
+        for a in source.attributes
+    }
+    for d in source.derived:
+        value[d.name] = UNITS[d.unit](*(value[c] for c in d.inputs))
+    first, *rest = attribute_order(source)
+    return _group(bronze, source, distinct).selectExpr(
         "year",
         "month",
-        "observation_month",
+        f"{month_start('year', 'month')} AS observation_month",
         "county",
-        order[0],
-        source.count_column,
-        *order[1:],
-        *tail,
+        f"{value[first]} AS {first}",
+        f"{quoted(source.outcome)} AS {source.count_column}",
+        *(f"{value[c]} AS {c}" for c in rest),
+        "source_row_count",
+        "distinct_value_max",
+        "source_file",
+        "latest_ingested_at",
     )

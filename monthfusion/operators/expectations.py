@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthfusion.contracts import FusionContract, SourceContract
+from monthfusion.functions import literal, quoted
 
 
 @dataclass(frozen=True)
@@ -22,8 +21,8 @@ class Expectation:
     predicate: str
 
     @property
-    def failed(self) -> Column:
-        return ~F.coalesce(F.expr(self.predicate), F.lit(False))
+    def failed(self) -> str:
+        return f"NOT coalesce({self.predicate}, false)"
 
 
 class ExpectationFailed(Exception):
@@ -66,18 +65,13 @@ def gold_expectations(contract: FusionContract) -> list[Expectation]:
 
 def failure_counts(expectations: list[Expectation]) -> list[Column]:
     """Aggregates counting the failed rows of each rule, named after the rule."""
-    return [F.count_if(e.failed).alias(e.name) for e in expectations]
+    return [F.expr(f"count_if({e.failed}) AS {quoted(e.name)}") for e in expectations]
 
 
 def check(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
     """Rows (rule, failed_rows, total_rows); all rules share one aggregate."""
     counts = df.agg(F.count("*").alias("total_rows"), *failure_counts(expectations))
-    rows = F.array(
-        *(F.struct(F.lit(e.name).alias("rule"), F.col(e.name).alias("failed_rows")) for e in expectations)
+    rows = ", ".join(
+        f"named_struct('rule', {literal(e.name)}, 'failed_rows', {quoted(e.name)})" for e in expectations
     )
-    return counts.select(F.inline(rows), "total_rows")
-
-
-def failing(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
-    """Rows that break any rule."""
-    return df.where(reduce(lambda a, b: a | b, [e.failed for e in expectations]))
+    return counts.selectExpr(f"inline(array({rows}))", "total_rows")

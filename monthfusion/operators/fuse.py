@@ -4,37 +4,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from monthfusion.contracts import (
-    KEY,
-    Agreement,
-    FusionContract,
-    attribute_order,
-    fused_columns,
-)
+from pyspark.sql import DataFrame
+
+from monthfusion.contracts import KEY, Agreement, FusionContract, fused_columns
 from monthfusion.functions.keys import month_start
 from monthfusion.functions.units import UNITS
 
 Silver = dict[str, DataFrame]
 
 
-def _from(source: str, name: str) -> str:
+def of(source: str, name: str) -> str:
+    """Name of a source's column once sources are side by side."""
     return f"{source}__{name}"
 
 
 def side(silver: DataFrame, source: str) -> DataFrame:
     """One source with every column but the key marked as its own."""
-    return silver.select(
-        *KEY, *(F.col(c).alias(_from(source, c)) for c in silver.columns if c not in KEY)
+    return silver.selectExpr(
+        *KEY, *(f"{c} AS {of(source, c)}" for c in silver.columns if c not in KEY)
     )
 
 
 def key_universe(silver: Silver) -> DataFrame:
     """Every key that any source has."""
-    keys = [df.select(*KEY) for df in silver.values()]
-    return reduce(DataFrame.unionByName, keys).distinct()
+    return reduce(DataFrame.unionByName, [df.select(*KEY) for df in silver.values()]).distinct()
 
 
 def align_left(silver: Silver) -> DataFrame:
@@ -42,8 +35,10 @@ def align_left(silver: Silver) -> DataFrame:
 
     A key with a NULL part meets no source and keeps NULL in every column.
     """
-    sides = [side(df, name) for name, df in silver.items()]
-    return reduce(lambda left, right: left.join(right, list(KEY), "left"), sides, key_universe(silver))
+    wide = key_universe(silver)
+    for name, df in silver.items():
+        wide = wide.join(side(df, name), list(KEY), "left")
+    return wide
 
 
 def align_full(silver: Silver) -> DataFrame:
@@ -59,17 +54,12 @@ def align_full(silver: Silver) -> DataFrame:
 ALIGN = {"left": align_left, "full": align_full}
 
 
-def first_reported(contract: FusionContract, name: str) -> Column:
+def first_reported(contract: FusionContract, name: str) -> str:
     """Value of the most trusted source that has one."""
-    return F.coalesce(*(F.col(_from(s, name)) for s in contract.precedence))
-
-
-def reported(source: str) -> Column:
-    """A count was given; zero is a count, a missing one is not."""
-    return F.col(_from(source, f"{source}_count")).isNotNull()
+    return f"coalesce({', '.join(of(s, name) for s in contract.precedence)})"
 
 
-def agree(contract: FusionContract, rule: Agreement) -> Column:
+def agree(contract: FusionContract, rule: Agreement) -> str:
     """True unless two sources that both report differ.
 
     Two of several values differ by more than the tolerance exactly when the
@@ -77,23 +67,19 @@ def agree(contract: FusionContract, rule: Agreement) -> Column:
     """
     names = [s.name for s in contract.sources]
     if len(names) < 2:
-        return F.lit(True)
-
-    def differs(column_name: str) -> Column:
-        gate = rule.gate or column_name
-        values = [
-            F.when(F.col(_from(n, gate)).isNotNull(), F.col(_from(n, column_name)))
-            for n in names
-        ]
-        present = sum((v.isNotNull().cast("int") for v in values[1:]), values[0].isNotNull().cast("int"))
-        high, low = F.greatest(*values), F.least(*values)
+        return "true"
+    differs = []
+    for c in rule.columns:
+        gate = rule.gate or c
+        values = [f"CASE WHEN {of(n, gate)} IS NOT NULL THEN {of(n, c)} END" for n in names]
+        present = " + ".join(f"CAST(({v}) IS NOT NULL AS INT)" for v in values)
+        high, low = (f"{f}({', '.join(values)})" for f in ("greatest", "least"))
         if rule.tolerance is None:
-            apart = high != low
+            apart = f"{high} <> {low}"
         else:
-            apart = (high - low) > F.lit(rule.tolerance)
-        return (present >= 2) & F.coalesce(apart, F.lit(False))
-
-    return ~reduce(lambda a, b: a | b, [differs(c) for c in rule.columns])
+            apart = f"{high} - {low} > {rule.tolerance!r}D"
+        differs.append(f"({present} >= 2 AND {apart})")
+    return f"NOT coalesce({' OR '.join(differs)}, false)"
 
 
 def fuse(silver: Silver, contract: FusionContract, align: str = "left") -> DataFrame:
@@ -103,33 +89,25 @@ def fuse(silver: Silver, contract: FusionContract, align: str = "left") -> DataF
     ``align="full"`` when the keys are known to be complete (published tables
     are); it costs fewer shuffles.
     """
-    silver = {s.name: silver[s.name] for s in contract.sources}
-    wide = ALIGN[align](silver)
-    names = list(silver)
+    names = [s.name for s in contract.sources]
+    wide = ALIGN[align]({n: silver[n] for n in names})
     model = contract.sources[0]
 
-    counts = {f"{n}_count": F.col(_from(n, f"{n}_count")) for n in names}
-    flags = {f"{n}_reported": reported(n) for n in names}
-    number_reported = reduce(lambda a, b: a + b, [f.cast("int") for f in flags.values()])
-    zero = F.lit(0).cast("bigint")
-    total = reduce(lambda a, b: a + b, [F.coalesce(c, zero) for c in counts.values()])
-    latest = [F.col(_from(n, "latest_ingested_at")) for n in names]
-
-    values: dict[str, Column] = {
-        "observation_month": month_start(F.col("year"), F.col("month")),
-        **counts,
-        **flags,
-        "reported_activity_types": number_reported,
-        contract.total_column: total,
+    count = {n: of(n, f"{n}_count") for n in names}
+    latest = ", ".join(of(n, "latest_ingested_at") for n in names)
+    # A count was reported when it is there; zero is a count, NULL is none.
+    value = {
+        "observation_month": month_start("year", "month"),
+        **{f"{n}_count": c for n, c in count.items()},
+        **{f"{n}_reported": f"{c} IS NOT NULL" for n, c in count.items()},
+        "reported_activity_types": " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in count.values()),
+        contract.total_column: " + ".join(f"coalesce({c}, 0L)" for c in count.values()),
         **{a.name: first_reported(contract, a.name) for a in model.attributes},
         **{a.name: agree(contract, a) for a in contract.agreements},
-        **{f"{n}_source_file": F.col(_from(n, "source_file")) for n in names},
-        "latest_ingested_at": F.greatest(*latest) if len(latest) > 1 else latest[0],
+        **{f"{n}_source_file": of(n, "source_file") for n in names},
+        "latest_ingested_at": f"greatest({latest})" if len(names) > 1 else latest,
     }
     # Units come from the chosen components, which may stem from two sources.
     for d in model.derived:
-        values[d.name] = UNITS[d.unit](*(values[c] for c in d.inputs))
-    assert set(attribute_order(model)) <= set(values)
-    return wide.select(
-        *(values[c].alias(c) if c in values else F.col(c) for c in fused_columns(contract))
-    )
+        value[d.name] = UNITS[d.unit](*(value[c] for c in d.inputs))
+    return wide.selectExpr(*(f"{value.get(c, c)} AS {c}" for c in fused_columns(contract)))

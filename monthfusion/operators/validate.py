@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthfusion.contracts import FusionContract, SourceContract
-from monthfusion.functions.keys import column, county_fold
+from monthfusion.functions import literal, quoted
+from monthfusion.functions.keys import county_fold, strip
 from monthfusion.functions.numbers import is_blank, number, whole
 from monthfusion.sources.csv_files import read_text
 
@@ -36,11 +37,11 @@ class ValidationFailed(ValueError):
 
 @dataclass(frozen=True)
 class Rule:
-    """One way a value can be wrong."""
+    """One way a value can be wrong; ``broken`` is never NULL."""
 
     name: str
     column: str
-    broken: Column
+    broken: str
 
 
 def missing_columns(columns: list[str], source: SourceContract) -> list[str]:
@@ -50,122 +51,152 @@ def missing_columns(columns: list[str], source: SourceContract) -> list[str]:
 
 def missing_column_rows(df: DataFrame, source: SourceContract) -> DataFrame:
     """Rows (source, column, rows): absent columns and how many rows lack them."""
-    absent = F.array(*(F.lit(c) for c in missing_columns(df.columns, source))).cast("array<string>")
-    return df.agg(F.count("*").alias("rows")).select(
-        F.lit(source.name).alias("source"), F.explode(absent).alias("column"), "rows"
+    absent = ", ".join(literal(c) for c in missing_columns(df.columns, source))
+    return df.agg(F.count("*").alias("rows")).selectExpr(
+        f"{literal(source.name)} AS source",
+        f"explode(CAST(array({absent}) AS ARRAY<STRING>)) AS column",
+        "rows",
     )
 
 
-def _text(df: DataFrame, name: str) -> Column:
+def _text(df: DataFrame, name: str) -> str:
     """A column, or NULL where the file has none of that name."""
-    return column(name) if name in df.columns else F.lit(None).cast("string")
-
-
-def rules(df: DataFrame, source: SourceContract) -> list[Rule]:
-    """Value rules for the text columns of one source."""
-    found: list[Rule] = []
-
-    def numeric(name: str, required: bool) -> Column:
-        text, value = _text(df, name), number(_text(df, name))
-        if required:
-            found.append(Rule(EMPTY, name, is_blank(text)))
-        found.append(Rule(NOT_NUMBER, name, ~is_blank(text) & value.isNull()))
-        found.append(Rule(NOT_FINITE, name, F.coalesce(F.isnan(value), F.lit(False))))
-        return value
-
-    def outside(value: Column, bounds: tuple[int, int]) -> Column:
-        inside = F.coalesce(whole(value).between(*bounds), F.lit(False))
-        return value.isNotNull() & ~F.isnan(value) & ~inside
-
-    contract = source.files
-    year = numeric("Year", required=True)
-    month = numeric("Month", required=True)
-    found.append(Rule(EMPTY, "County", is_blank(_text(df, "County"))))
-    found.append(Rule(YEAR_RANGE, "Year", outside(year, contract.year_bounds)))
-    found.append(Rule(MONTH_RANGE, "Month", outside(month, contract.month_bounds)))
-    outcome = numeric(source.outcome, required=True)
-    negative = F.coalesce(~F.isnan(outcome) & (outcome < 0), F.lit(False))
-    found.append(Rule(NEGATIVE, source.outcome, negative))
-    for name in contract.numeric_columns:
-        if name in df.columns:
-            numeric(name, required=False)
-    return found
+    return quoted(name) if name in df.columns else "CAST(NULL AS STRING)"
+
+
+def _numeric(source: SourceContract) -> list[str]:
+    return ["Year", "Month", source.outcome, *source.files.numeric_columns]
+
+
+def parsed(df: DataFrame, source: SourceContract) -> DataFrame:
+    """The rows with every checked text stripped (``t_``) and read (``v_``).
+
+    Two steps, so that each text is stripped once and read once however many
+    rules look at it.
+    """
+    numeric = _numeric(source)
+    stripped = df.selectExpr(
+        "*", *(f"{strip(_text(df, c))} AS {quoted('t_' + c)}" for c in (*numeric, "County"))
+    )
+    return stripped.selectExpr(
+        "*",
+        *(f"{number(quoted('t_' + c))} AS {quoted('v_' + c)}" for c in numeric),
+        f"{county_fold('County')} AS county_key",
+    )
+
+
+def rules(source: SourceContract) -> list[Rule]:
+    """Value rules over :func:`parsed` rows."""
+
+    def text(c: str) -> str:
+        return quoted("t_" + c)
+
+    def value(c: str) -> str:
+        return quoted("v_" + c)
+
+    def outside(c: str, bounds: tuple[int, int]) -> Rule:
+        inside = f"coalesce({whole(value(c))} BETWEEN {bounds[0]} AND {bounds[1]}, false)"
+        name = YEAR_RANGE if c == "Year" else MONTH_RANGE
+        return Rule(name, c, f"({value(c)} IS NOT NULL AND NOT isnan({value(c)}) AND NOT {inside})")
+
+    required = ("Year", "Month", "County", source.outcome)
+    below_zero = f"coalesce(NOT isnan({value(source.outcome)}) AND {value(source.outcome)} < 0, false)"
+    return [
+        *(Rule(EMPTY, c, is_blank(text(c))) for c in required),
+        *(
+            Rule(NOT_NUMBER, c, f"(NOT {is_blank(text(c))} AND {value(c)} IS NULL)")
+            for c in _numeric(source)
+        ),
+        *(Rule(NOT_FINITE, c, f"coalesce(isnan({value(c)}), false)") for c in _numeric(source)),
+        outside("Year", source.files.year_bounds),
+        outside("Month", source.files.month_bounds),
+        Rule(NEGATIVE, source.outcome, below_zero),
+    ]
 
 
 def violations(df: DataFrame, source: SourceContract) -> DataFrame:
     """One row per wrong value: source, rule, column, value, key as delivered."""
-    wrong = F.array(
-        *(
-            F.when(
-                r.broken,
-                F.struct(
-                    F.lit(r.name).alias("rule"),
-                    F.lit(r.column).alias("column"),
-                    _text(df, r.column).alias("value"),
-                ),
-            )
-            for r in rules(df, source)
-        )
+    wrong = ", ".join(
+        f"CASE WHEN {r.broken} THEN named_struct('rule', '{r.name}', 'column', {literal(r.column)},"
+        f" 'value', {_text(df, r.column)}) END"
+        for r in rules(source)
     )
-    file = F.col("source_file") if "source_file" in df.columns else F.lit(None).cast("string")
-    return df.select(
-        F.lit(source.name).alias("source"),
-        F.inline(F.array_compact(wrong)),
-        _text(df, "Year").alias("year"),
-        _text(df, "Month").alias("month"),
-        _text(df, "County").alias("county"),
-        file.alias("source_file"),
+    file = "source_file" if "source_file" in df.columns else "CAST(NULL AS STRING)"
+    return parsed(df, source).selectExpr(
+        f"{literal(source.name)} AS source",
+        f"inline(array_compact(array({wrong})))",
+        f"{_text(df, 'Year')} AS year",
+        f"{_text(df, 'Month')} AS month",
+        f"{_text(df, 'County')} AS county",
+        f"{file} AS source_file",
     )
 
 
 def violation_counts(df: DataFrame, source: SourceContract) -> DataFrame:
-    """Rows (source, rule, column, rows) for the rules that are broken."""
-    return violations(df, source).groupBy("source", "rule", "column").agg(F.count("*").alias("rows"))
+    """Rows (source, rule, column, rows) for the rules that are broken.
+
+    All rules share one aggregate; no row is moved.
+    """
+    checked = rules(source)
+    counts = parsed(df, source).agg(
+        *(F.expr(f"count_if({r.broken}) AS r{i}") for i, r in enumerate(checked))
+    )
+    rows = ", ".join(
+        f"named_struct('rule', '{r.name}', 'column', {literal(r.column)}, 'rows', r{i})"
+        for i, r in enumerate(checked)
+    )
+    return counts.selectExpr(f"{literal(source.name)} AS source", f"inline(array({rows}))").where(
+        "rows > 0"
+    )
 
 
 def empty_source(df: DataFrame, source: SourceContract) -> DataFrame:
     """One row (source, rule) when there is no data row, else none."""
     rows = df.limit(1).agg(F.count("*").alias("n"))
-    return rows.where("n = 0").select(F.lit(source.name).alias("source"), F.lit(NO_ROWS).alias("rule"))
+    return rows.where("n = 0").selectExpr(
+        f"{literal(source.name)} AS source", f"'{NO_ROWS}' AS rule"
+    )
 
 
 def normalized(df: DataFrame, source: SourceContract) -> DataFrame:
     """Key and compared values as numbers; absent optional columns are NULL."""
-    names = [source.outcome, *source.files.numeric_columns]
-    return df.select(
-        whole(number(column("Year"))).alias("year"),
-        whole(number(column("Month"))).alias("month"),
-        county_fold(column("County")).alias("county"),
-        *(number(_text(df, n)).alias(n) for n in names),
+    return _normalized(parsed(df, source), source)
+
+
+def _normalized(read: DataFrame, source: SourceContract) -> DataFrame:
+    names = (source.outcome, *source.files.numeric_columns)
+    return read.selectExpr(
+        f"{whole('v_Year')} AS year",
+        f"{whole('v_Month')} AS month",
+        "county_key AS county",
+        *(f"{quoted('v_' + n)} AS {quoted(n)}" for n in names),
     )
 
 
-def _varies(name: str) -> Column:
+def _varies(name: str) -> str:
     """Two rows of a group differ in a column; NULL is a value of its own."""
-    c = column(name)
-    some_null = F.count(c).between(1, F.count(F.lit(1)) - 1)
-    return some_null | ~F.min(c).eqNullSafe(F.max(c))
+    c = quoted(name)
+    return f"count({c}) BETWEEN 1 AND count(*) - 1 OR NOT min({c}) <=> max({c})"
+
+
+def _lacking(source: SourceContract) -> str:
+    return " OR ".join(f"{quoted(n)} IS NULL" for n in source.files.numeric_columns)
 
 
 def _groups(values: DataFrame, source: SourceContract) -> DataFrame:
     """Per key: rows, incomplete rows, whether its rows conflict."""
-    names = source.files.numeric_columns
-    incomplete = reduce(lambda a, b: a | b, [column(n).isNull() for n in names])
-    conflict = reduce(lambda a, b: a | b, [_varies(n) for n in (source.outcome, *names)])
+    conflict = " OR ".join(_varies(n) for n in (source.outcome, *source.files.numeric_columns))
     return values.groupBy("year", "month", "county").agg(
         F.count("*").alias("n"),
-        F.count_if(incomplete).alias("incomplete"),
-        conflict.alias("conflict"),
+        F.expr(f"count_if({_lacking(source)}) AS incomplete"),
+        F.expr(f"({conflict}) AS conflict"),
     )
 
 
 def incomplete_metadata(df: DataFrame, source: SourceContract) -> DataFrame:
     """One row (source, rows): rows lacking any compared attribute."""
-    values = normalized(df, source)
-    lacking = reduce(lambda a, b: a | b, [column(n).isNull() for n in source.files.numeric_columns])
-    return values.agg(F.count_if(lacking).alias("rows")).select(
-        F.lit(source.name).alias("source"), "rows"
-    )
+    counted = normalized(df, source).agg(F.expr(f"count_if({_lacking(source)}) AS rows"))
+    return counted.selectExpr(f"{literal(source.name)} AS source", "rows")
 
 
 def conflict_groups(df: DataFrame, source: SourceContract) -> DataFrame:
@@ -185,10 +216,8 @@ def conflict_groups(df: DataFrame, source: SourceContract) -> DataFrame:
 def conflict_examples(df: DataFrame, source: SourceContract, limit: int = EXAMPLES) -> DataFrame:
     """The first conflicting keys in key order, as ``county YYYY-MM``."""
     groups = _groups(normalized(df, source), source).where("conflict")
-    text = F.concat(
-        "county", F.lit(" "), F.col("year").cast("string"), F.lit("-"), F.lpad(F.col("month").cast("string"), 2, "0")
-    )
-    return groups.orderBy("year", "month", "county").limit(limit).select(text.alias("example"))
+    text = "concat(county, ' ', year, '-', lpad(month, 2, '0')) AS example"
+    return groups.orderBy("year", "month", "county").limit(limit).selectExpr(text)
 
 
 def report(df: DataFrame, source: SourceContract, path: str | None = None) -> DataFrame:
@@ -196,22 +225,26 @@ def report(df: DataFrame, source: SourceContract, path: str | None = None) -> Da
 
     Rows are combined per key first; the summary then runs over keys.
     """
-    keys = _groups(normalized(df, source), source)
+    return _report(parsed(df, source), source, path)
+
+
+def _report(read: DataFrame, source: SourceContract, path: str | None) -> DataFrame:
+    keys = _groups(_normalized(read, source), source)
     summary = keys.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("raw_rows"),
-        F.count("*").alias("unique_county_months"),
-        F.count_if("conflict").alias("conflict_groups"),
-        F.coalesce(F.sum("incomplete"), F.lit(0)).alias("incomplete_metadata_rows"),
-        F.min("year").alias("minimum_year"),
-        F.max("year").alias("maximum_year"),
-        F.count_distinct("county").alias("county_count"),
+        F.expr("coalesce(sum(n), 0L) AS raw_rows"),
+        F.expr("count(*) AS unique_county_months"),
+        F.expr("count_if(conflict) AS conflict_groups"),
+        F.expr("coalesce(sum(incomplete), 0L) AS incomplete_metadata_rows"),
+        F.expr("min(year) AS minimum_year"),
+        F.expr("max(year) AS maximum_year"),
+        F.expr("count(DISTINCT county) AS county_count"),
     )
-    return summary.select(
-        F.lit(source.name).alias("source"),
-        F.lit(path).cast("string").alias("path"),
+    return summary.selectExpr(
+        f"{literal(source.name)} AS source",
+        f"CAST({'NULL' if path is None else literal(path)} AS STRING) AS path",
         "raw_rows",
         "unique_county_months",
-        (F.col("raw_rows") - F.col("unique_county_months")).alias("duplicate_rows"),
+        "raw_rows - unique_county_months AS duplicate_rows",
         "conflict_groups",
         "incomplete_metadata_rows",
         "minimum_year",
@@ -229,11 +262,10 @@ def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None)
     if missing:
         raise ValidationFailed(source.name, f"missing required columns: {', '.join(missing)}")
 
-    checked = rules(df, source)
+    checked = rules(source)
     seen = Observation()
-    counts = [F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(checked)]
-    observed = df.observe(seen, F.count(F.lit(1)).alias("n"), *counts)
-    done = report(observed, source, path)
+    counts = [F.expr(f"count_if({r.broken}) AS r{i}") for i, r in enumerate(checked)]
+    done = _report(parsed(df, source).observe(seen, *counts), source, path)
     row = done.first()
 
     found = seen.get

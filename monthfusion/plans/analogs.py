@@ -22,64 +22,71 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _facts(spark: SparkSession, sf_dir: str, slot: str) -> DataFrame:
-    """Fact rows of a slot: month, nation, weight in the outcome, file number."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    if slot == "bird":
-        people = table(spark, sf_dir, "customer")
-        facts = table(spark, sf_dir, "orders").join(people, F.col("o_custkey") == F.col("c_custkey"))
-        place, date, weight = F.col("c_nationkey"), F.col("o_orderdate"), F.lit(1)
-        file_no = F.col("o_orderkey") % 3
-    else:
-        people = table(spark, sf_dir, "supplier")
-        lines = table(spark, sf_dir, "lineitem")
-        weight = F.lit(1)
-        if slot == "mosquito":
-            lines = lines.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48))
-            weight = (F.col("l_linestatus") == "F").cast("int")
-        facts = lines.join(people, F.col("l_suppkey") == F.col("s_suppkey"))
-        place, date = F.col("s_nationkey"), F.col("l_shipdate")
-        file_no = F.col("l_linenumber") % 3
-    return facts.join(nation, place == F.col("n_nationkey")).select(
-        F.year(date).alias("Year"),
-        F.month(date).alias("Month"),
-        "n_nationkey",
-        "n_name",
-        weight.alias("weight"),
-        file_no.alias("file_no"),
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by month and the customer's nation."""
+    return (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            "year(o_orderdate) AS Year",
+            "month(o_orderdate) AS Month",
+            "n_nationkey",
+            "n_name",
+            "1 AS weight",
+            "o_orderkey % 3 AS file_no",
+            "o_orderkey",
+        )
     )
 
 
-def enrich(facts: DataFrame, slot: str, outcome: Column, *kept: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
+    """Line items, or large returned ones, by month and the supplier's nation."""
+    lines = table(spark, sf_dir, "lineitem")
+    if returned:
+        lines = lines.where("l_returnflag = 'R' AND l_quantity >= 48")
+    return (
+        lines.join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("s_nationkey = n_nationkey"))
+        .selectExpr(
+            "year(l_shipdate) AS Year",
+            "month(l_shipdate) AS Month",
+            "n_nationkey",
+            "n_name",
+            ("CAST(l_linestatus = 'F' AS INT)" if returned else "1") + " AS weight",
+            "l_linenumber % 3 AS file_no",
+        )
+    )
+
+
+def enrich(facts: DataFrame, slot: str, outcome: str, *kept: str) -> DataFrame:
     """Raw source columns for fact rows."""
-    n, month = F.col("n_nationkey"), F.col("Month")
     day = [s.name for s in CONTRACT.sources].index(slot)
-    rain = month * 0.0009765625
+    rain = "Month * 0.0009765625D"
     if slot == "mosquito":
-        rain = F.when(n % 7 != 3, rain)
-    name = CONTRACT.source(slot).outcome
-    return facts.select(
+        rain = f"CASE WHEN n_nationkey % 7 <> 3 THEN {rain} END"
+    return facts.selectExpr(
         "Year",
         "Month",
-        F.concat(F.lit(" "), F.lower(F.replace("n_name", F.lit("_"), F.lit(" "))), F.lit(" ")).alias("County"),
-        outcome.cast("bigint").alias(name),
-        F.make_date("Year", "Month", F.lit(1)).alias("Date"),
-        (17001 + 2 * n).cast("double").alias("FIPS"),
-        (37.0 + n * 0.125).alias("County_Seat_Latitude"),
-        (-91.5 + n * 0.25).alias("County_Seat_Longitude"),
-        (100.0 * (n + 1)).alias("Land_Area_2010"),
-        (n % 5).cast("double").alias("Avian_Phylodiversity"),
-        ((month - 6) * 0.25).alias("u10_1m_shift"),
-        (n * 0.125).alias("v10_1m_shift"),
-        (270.0 + month + n * 0.5).alias("t2m_1m_shift"),
-        rain.alias("tp_1m_shift"),
-        F.when(month.isin(12, 1, 2), 0.5).otherwise(0.0).alias("sf_1m_shift"),
-        (month * 0.0625).alias("sro_1m_shift"),
-        (2.0 + month * 0.125).alias("lai_hv_1m_shift"),
-        (1.0 + month * 0.125).alias("lai_lv_1m_shift"),
-        F.lit(0.25).alias("src_1m_shift"),
-        F.concat(F.lit(f"file:///landing/{slot}/"), F.col("file_no").cast("string"), F.lit(".csv")).alias("source_file"),
-        F.make_timestamp(F.lit(2024), F.lit(1), 1 + (n + day) % 3, month, F.lit(0), F.lit(0)).alias("ingested_at"),
+        "concat(' ', lower(replace(n_name, '_', ' ')), ' ') AS County",
+        f"CAST({outcome} AS BIGINT) AS {CONTRACT.source(slot).outcome}",
+        "make_date(Year, Month, 1) AS Date",
+        "CAST(17001 + 2 * n_nationkey AS DOUBLE) AS FIPS",
+        "37D + n_nationkey * 0.125D AS County_Seat_Latitude",
+        "-91.5D + n_nationkey * 0.25D AS County_Seat_Longitude",
+        "100D * (n_nationkey + 1) AS Land_Area_2010",
+        "CAST(n_nationkey % 5 AS DOUBLE) AS Avian_Phylodiversity",
+        "(Month - 6) * 0.25D AS u10_1m_shift",
+        "n_nationkey * 0.125D AS v10_1m_shift",
+        "270D + Month + n_nationkey * 0.5D AS t2m_1m_shift",
+        f"{rain} AS tp_1m_shift",
+        "CASE WHEN Month IN (12, 1, 2) THEN 0.5D ELSE 0D END AS sf_1m_shift",
+        "Month * 0.0625D AS sro_1m_shift",
+        "2D + Month * 0.125D AS lai_hv_1m_shift",
+        "1D + Month * 0.125D AS lai_lv_1m_shift",
+        "0.25D AS src_1m_shift",
+        f"concat('file:///landing/{slot}/', file_no, '.csv') AS source_file",
+        f"make_timestamp(2024, 1, 1 + (n_nationkey + {day}) % 3, Month, 0, 0) AS ingested_at",
         *kept,
     )
 
@@ -90,35 +97,20 @@ def source(spark: SparkSession, sf_dir: str, slot: str) -> DataFrame:
     The outcome is joined on from a grouped count.  A window over the key would
     put all rows of a hot key into one task.
     """
-    facts = _facts(spark, sf_dir, slot)
+    facts = _orders(spark, sf_dir) if slot == "bird" else _lines(spark, sf_dir, slot == "mosquito")
     key = ["Year", "Month", "n_nationkey"]
     totals = facts.groupBy(*key).agg(F.sum("weight").alias("total"))
-    return enrich(facts.join(totals, key), slot, F.col("total"))
+    return enrich(facts.join(totals, key), slot, "total")
 
 
 def raw_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bird slot with one outcome per order: most keys contradict themselves."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    people = table(spark, sf_dir, "customer")
-    facts = (
-        table(spark, sf_dir, "orders")
-        .join(people, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.year("o_orderdate").alias("Year"),
-            F.month("o_orderdate").alias("Month"),
-            "n_nationkey",
-            "n_name",
-            "o_orderkey",
-            (F.col("o_orderkey") % 3).alias("file_no"),
-        )
-    )
-    return enrich(facts, "bird", F.col("o_orderkey") % 4, "o_orderkey", "n_nationkey")
+    return enrich(_orders(spark, sf_dir), "bird", "o_orderkey % 4", "o_orderkey", "n_nationkey")
 
 
 def as_text(df: DataFrame) -> DataFrame:
     """Every column as text, as a file reader delivers it."""
-    return df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
+    return df.selectExpr(*(f"CAST(`{c}` AS STRING) AS `{c}`" for c in df.columns))
 
 
 def all_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

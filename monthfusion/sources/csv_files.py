@@ -14,10 +14,9 @@ from functools import reduce
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from monthfusion.functions.keys import column
+from monthfusion.functions import quoted
 
 MALFORMED = "_malformed_record"
 FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -68,11 +67,11 @@ def scan(
     reader = spark.read.schema(StructType(fields)).option("header", "true")
     reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     reader = reader.option("enforceSchema", str(not strict).lower())
-    return reader.csv([literal_path(p) for p in paths]).select(
-        *(column(n) for n in (*names, MALFORMED)),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_size").alias("source_file_size"),
-        F.col("_metadata.file_modification_time").alias("source_modification_time"),
+    return reader.csv([literal_path(p) for p in paths]).selectExpr(
+        *(quoted(n) for n in (*names, MALFORMED)),
+        "_metadata.file_path AS source_file",
+        "_metadata.file_size AS source_file_size",
+        "_metadata.file_modification_time AS source_modification_time",
     )
 
 

@@ -12,13 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from monthfusion.contracts import SourceContract
-from monthfusion.functions.keys import column
+from monthfusion.functions import literal, quoted
 from monthfusion.functions.numbers import cast_text
 from monthfusion.sources.csv_files import (
     FILE_LISTING,
@@ -123,7 +122,7 @@ class BronzeTable:
         """
         schema = self.schema()
         try:
-            return self.spark.read.schema(schema).parquet(self.path).select(*_names(schema))
+            return self.spark.read.schema(schema).parquet(self.path).selectExpr(*_names(schema))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -132,7 +131,7 @@ class BronzeTable:
     def _write(self, text: DataFrame, types: dict[str, str], batch_id: int) -> None:
         rows = typed(text, types, self.landing)
         folder = f"{self.path}/batch_id={batch_id}"
-        rows.select(*_names(self.schema(types))).write.mode("overwrite").parquet(folder)
+        rows.selectExpr(*_names(self.schema(types))).write.mode("overwrite").parquet(folder)
 
     # -- loading ----------------------------------------------------------
 
@@ -184,8 +183,8 @@ class BronzeTable:
         return {**pinned, **new}
 
 
-def _names(schema: StructType) -> list[Column]:
-    return [column(f.name) for f in schema.fields]
+def _names(schema: StructType) -> list[str]:
+    return [quoted(f.name) for f in schema.fields]
 
 
 def _common(a: str, b: str) -> str:
@@ -204,38 +203,34 @@ def typed(text: DataFrame, types: dict[str, str], landing: Landing) -> DataFrame
     that could not be cast, a malformed line as a whole, and the file path.
     """
     present = tuple(text.columns)
-    columns: dict[str, Column] = {}
-    misfits: list[Column] = []
+    columns: dict[str, str] = {}
+    misfits: list[str] = []
     for name, type_ in types.items():
         arrived = same_name(present, name)
         if arrived is None:
-            columns[name] = F.lit(None).cast(type_)
+            columns[name] = f"CAST(NULL AS {type_})"
             continue
-        raw = column(arrived)
-        value = cast_text(raw, type_)
-        columns[name] = value
+        columns[name] = cast_text(quoted(arrived), type_)
         if type_ != "string":
-            misfits.append(_entry(name, F.when(value.isNull(), raw)))
-    misfits.append(_entry(MALFORMED, column(MALFORMED)))
-
-    kept = F.filter(F.array(*misfits), lambda e: e["value"].isNotNull())
-    origin = F.struct(F.lit("_file_path").alias("name"), F.col("source_file").alias("value"))
-    record = F.to_json(F.map_from_entries(F.concat(kept, F.array(origin))))
-    rescued = F.when(F.size(kept) > 0, record)
-
-    return text.select(
-        *(v.alias(landing.renames.get(n, n)) for n, v in columns.items()),
-        rescued.alias(RESCUED),
-        F.lit(landing.name).alias("source_type"),
+            unfit = f"CASE WHEN {columns[name]} IS NULL THEN {quoted(arrived)} END"
+            misfits.append(_entry(name, unfit))
+    misfits.append(_entry(MALFORMED, MALFORMED))
+    kept = f"filter(array({', '.join(misfits)}), e -> e.value IS NOT NULL)"
+    record = f"to_json(map_from_entries(concat({kept}, array({_entry('_file_path', 'source_file')}))))"
+
+    return text.selectExpr(
+        *(f"{v} AS {quoted(landing.renames.get(n, n))}" for n, v in columns.items()),
+        f"CASE WHEN size({kept}) > 0 THEN {record} END AS {RESCUED}",
+        f"{literal(landing.name)} AS source_type",
         "source_file",
         "source_file_size",
         "source_modification_time",
-        F.current_timestamp().alias("ingested_at"),
+        "current_timestamp() AS ingested_at",
     )
 
 
-def _entry(name: str, value: Column) -> Column:
-    return F.struct(F.lit(name).alias("name"), value.alias("value"))
+def _entry(name: str, value: str) -> str:
+    return f"named_struct('name', {literal(name)}, 'value', {value})"
 
 
 def ingest(table: BronzeTable) -> StreamingQuery:
