@@ -7,6 +7,8 @@ cast only converts.
 
 from __future__ import annotations
 
+from monthfusion.functions.keys import strip
+
 # Accepted spellings of numbers, and of values that are none.
 DECIMAL = (
     "^[+-]?([0-9]+(_[0-9]+)*[.]?([0-9]+(_[0-9]+)*)?|[.][0-9]+(_[0-9]+)*)"
@@ -15,18 +17,33 @@ DECIMAL = (
 NOT_FINITE = "^[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$"
 
 
-def is_blank(stripped: str) -> str:
-    """True for missing and empty text; outer white space must be off."""
-    return f"coalesce({stripped} = '', true)"
+# Text of these characters alone is read alike by Spark and the patterns above.
+_PLAIN = "^[-+0-9.eE]+$"
+
+
+def is_blank(text: str) -> str:
+    """True for missing, empty and white-space-only text."""
+    return f"coalesce({strip(text)} = '', true)"
+
 
+def _finite(value: str) -> str:
+    return f"CASE WHEN abs({value}) = double('Infinity') THEN double('NaN') ELSE {value} END"
 
-def number(stripped: str) -> str:
-    """Text as double: NULL when it is no number, NaN when it is not finite."""
-    value = f"try_cast(replace({stripped}, '_', '') AS DOUBLE)"
+
+def number(text: str) -> str:
+    """Text as double: NULL when it is no number, NaN when it is not finite.
+
+    Nearly all values are plain and take a short way: a simple pattern and a
+    cast.  White space, underscores and names of non-finite values take the long
+    one.
+    """
+    plain = f"try_cast({text} AS DOUBLE)"
+    t = strip(text)
+    spelled = f"try_cast(replace({t}, '_', '') AS DOUBLE)"
     return (
-        f"CASE WHEN {stripped} RLIKE '{DECIMAL}'"
-        f" THEN CASE WHEN abs({value}) < double('Infinity') THEN {value} ELSE double('NaN') END"
-        f" WHEN {stripped} RLIKE '{NOT_FINITE}' THEN double('NaN') END"
+        f"CASE WHEN {text} RLIKE '{_PLAIN}' THEN {_finite(plain)}"
+        f" WHEN {t} RLIKE '{DECIMAL}' THEN {_finite(spelled)}"
+        f" WHEN {t} RLIKE '{NOT_FINITE}' THEN double('NaN') END"
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from monthfusion.contracts import FusionContract, SourceContract
 from monthfusion.functions import literal, quoted
-from monthfusion.functions.keys import county_fold, strip
+from monthfusion.functions.keys import county_fold
 from monthfusion.functions.numbers import is_blank, number, whole
 from monthfusion.sources.csv_files import read_text
 
@@ -69,48 +69,40 @@ def _numeric(source: SourceContract) -> list[str]:
 
 
 def parsed(df: DataFrame, source: SourceContract) -> DataFrame:
-    """The rows with every checked text stripped (``t_``) and read (``v_``).
+    """The rows with the key's county and every checked number (``v_``) read.
 
-    Two steps, so that each text is stripped once and read once however many
-    rules look at it.
+    A step of its own, so that each text is read once however many rules look
+    at its number.
     """
-    numeric = _numeric(source)
-    stripped = df.selectExpr(
-        "*", *(f"{strip(_text(df, c))} AS {quoted('t_' + c)}" for c in (*numeric, "County"))
-    )
-    return stripped.selectExpr(
+    return df.selectExpr(
         "*",
-        *(f"{number(quoted('t_' + c))} AS {quoted('v_' + c)}" for c in numeric),
-        f"{county_fold('County')} AS county_key",
+        *(f"{number(_text(df, c))} AS {quoted('v_' + c)}" for c in _numeric(source)),
+        f"{county_fold(_text(df, 'County'))} AS county_key",
     )
 
 
-def rules(source: SourceContract) -> list[Rule]:
-    """Value rules over :func:`parsed` rows."""
-
-    def text(c: str) -> str:
-        return quoted("t_" + c)
+def rules(df: DataFrame, source: SourceContract) -> list[Rule]:
+    """Value rules over the :func:`parsed` rows of ``df``."""
 
     def value(c: str) -> str:
         return quoted("v_" + c)
 
-    def outside(c: str, bounds: tuple[int, int]) -> Rule:
+    def unread(c: str, blank: bool) -> str:
+        return f"({value(c)} IS NULL AND {'' if blank else 'NOT '}{is_blank(_text(df, c))})"
+
+    def outside(name: str, c: str, bounds: tuple[int, int]) -> Rule:
         inside = f"coalesce({whole(value(c))} BETWEEN {bounds[0]} AND {bounds[1]}, false)"
-        name = YEAR_RANGE if c == "Year" else MONTH_RANGE
         return Rule(name, c, f"({value(c)} IS NOT NULL AND NOT isnan({value(c)}) AND NOT {inside})")
 
-    required = ("Year", "Month", "County", source.outcome)
-    below_zero = f"coalesce(NOT isnan({value(source.outcome)}) AND {value(source.outcome)} < 0, false)"
+    outcome = value(source.outcome)
     return [
-        *(Rule(EMPTY, c, is_blank(text(c))) for c in required),
-        *(
-            Rule(NOT_NUMBER, c, f"(NOT {is_blank(text(c))} AND {value(c)} IS NULL)")
-            for c in _numeric(source)
-        ),
+        *(Rule(EMPTY, c, unread(c, blank=True)) for c in ("Year", "Month", source.outcome)),
+        Rule(EMPTY, "County", is_blank(_text(df, "County"))),
+        *(Rule(NOT_NUMBER, c, unread(c, blank=False)) for c in _numeric(source)),
         *(Rule(NOT_FINITE, c, f"coalesce(isnan({value(c)}), false)") for c in _numeric(source)),
-        outside("Year", source.files.year_bounds),
-        outside("Month", source.files.month_bounds),
-        Rule(NEGATIVE, source.outcome, below_zero),
+        outside(YEAR_RANGE, "Year", source.files.year_bounds),
+        outside(MONTH_RANGE, "Month", source.files.month_bounds),
+        Rule(NEGATIVE, source.outcome, f"coalesce(NOT isnan({outcome}) AND {outcome} < 0, false)"),
     ]
 
 
@@ -119,7 +111,7 @@ def violations(df: DataFrame, source: SourceContract) -> DataFrame:
     wrong = ", ".join(
         f"CASE WHEN {r.broken} THEN named_struct('rule', '{r.name}', 'column', {literal(r.column)},"
         f" 'value', {_text(df, r.column)}) END"
-        for r in rules(source)
+        for r in rules(df, source)
     )
     file = "source_file" if "source_file" in df.columns else "CAST(NULL AS STRING)"
     return parsed(df, source).selectExpr(
@@ -137,7 +129,7 @@ def violation_counts(df: DataFrame, source: SourceContract) -> DataFrame:
 
     All rules share one aggregate; no row is moved.
     """
-    checked = rules(source)
+    checked = rules(df, source)
     counts = parsed(df, source).agg(
         *(F.expr(f"count_if({r.broken}) AS r{i}") for i, r in enumerate(checked))
     )
@@ -262,7 +254,7 @@ def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None)
     if missing:
         raise ValidationFailed(source.name, f"missing required columns: {', '.join(missing)}")
 
-    checked = rules(source)
+    checked = rules(df, source)
     seen = Observation()
     counts = [F.expr(f"count_if({r.broken}) AS r{i}") for i, r in enumerate(checked)]
     done = _report(parsed(df, source).observe(seen, *counts), source, path)
