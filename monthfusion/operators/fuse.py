@@ -44,8 +44,8 @@ def align_left(silver: Silver) -> DataFrame:
 def align_full(silver: Silver) -> DataFrame:
     """The same rows as :func:`align_left` for keys without NULL parts.
 
-    Each source is read and shuffled once, where the key union reads and
-    shuffles each a second time.  Key rules refuse NULL parts before this.
+    Each source is read once, where the key union reads each a second time, and
+    no key set is built.  Key rules refuse NULL parts before this.
     """
     sides = [side(df, name) for name, df in silver.items()]
     return reduce(lambda left, right: left.join(right, list(KEY), "full"), sides)
@@ -87,7 +87,7 @@ def fuse(silver: Silver, contract: FusionContract, align: str = "left") -> DataF
 
     ``silver`` maps source names to tables with one row per key.  Use
     ``align="full"`` when the keys are known to be complete (published tables
-    are); it costs fewer shuffles.
+    are); it is the faster plan.
     """
     names = [s.name for s in contract.sources]
     wide = ALIGN[align]({n: silver[n] for n in names})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,7 +13,14 @@ from monthfusion.contracts import FusionContract, SourceContract
 from monthfusion.functions import literal, quoted
 from monthfusion.functions.keys import county_fold
 from monthfusion.functions.numbers import is_blank, number, whole
-from monthfusion.sources.csv_files import read_text
+from monthfusion.sources.csv_files import (
+    SCAN_ERRORS,
+    file_paths,
+    header,
+    headers,
+    scan,
+    scan_groups,
+)
 
 EMPTY = "empty_required"
 NOT_NUMBER = "nonnumeric"
@@ -44,11 +52,17 @@ class Rule:
     broken: str
 
 
-def missing_columns(columns: list[str], source: SourceContract) -> list[str]:
+def missing_columns(columns: Iterable[str], source: SourceContract) -> list[str]:
     """Required columns that are absent, sorted."""
     return sorted(set(source.files.required_columns) - set(columns))
 
 
+def require_columns(columns: Iterable[str], source: SourceContract) -> None:
+    missing = missing_columns(columns, source)
+    if missing:
+        raise ValidationFailed(source.name, f"missing required columns: {', '.join(missing)}")
+
+
 def missing_column_rows(df: DataFrame, source: SourceContract) -> DataFrame:
     """Rows (source, column, rows): absent columns and how many rows lack them."""
     absent = ", ".join(literal(c) for c in missing_columns(df.columns, source))
@@ -250,16 +264,15 @@ def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None)
 
     The rules are counted by the scan that builds the report.
     """
-    missing = missing_columns(df.columns, source)
-    if missing:
-        raise ValidationFailed(source.name, f"missing required columns: {', '.join(missing)}")
-
+    require_columns(df.columns, source)
     checked = rules(df, source)
     seen = Observation()
     counts = [F.expr(f"count_if({r.broken}) AS r{i}") for i, r in enumerate(checked)]
     done = _report(parsed(df, source).observe(seen, *counts), source, path)
     row = done.first()
 
+    if not row.raw_rows:
+        raise ValidationFailed(source.name, "no data rows")
     found = seen.get
     broken = [(r, found[f"r{i}"]) for i, r in enumerate(checked) if found[f"r{i}"]]
     if broken:
@@ -269,8 +282,6 @@ def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None)
             f"{w.county} {w.year}-{w.month} {w.column}={w.value!r}" for w in wrong
         )
         raise ValidationFailed(source.name, f"{listed}; e.g. {shown}")
-    if not row.raw_rows:
-        raise ValidationFailed(source.name, "no data rows")
     if row.conflict_groups:
         shown = ", ".join(r.example for r in conflict_examples(df, source).collect())
         raise ValidationFailed(
@@ -280,12 +291,26 @@ def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None)
 
 
 def validate_source(spark: SparkSession, path: str, source: SourceContract) -> DataFrame:
-    """Validate the file or folder of one source."""
+    """Validate the file or folder of one source.
+
+    Every file must have the required columns.  Files are first taken to share
+    the header of the first one, which the scan checks as it goes.
+    """
     try:
-        text = read_text(spark, path)
+        paths = file_paths(spark, path)
     except FileNotFoundError:
         raise ValidationFailed(source.name, f"no source file at {path}") from None
-    return assert_valid(text, source, path)
+    first = header(spark, paths[0])
+    require_columns(first, source)
+    try:
+        return assert_valid(scan(spark, first, paths, strict=True), source, path)
+    except SCAN_ERRORS:
+        groups = headers(spark, paths)
+        if groups == {first: paths}:
+            raise
+    for names in groups:
+        require_columns(names, source)
+    return assert_valid(scan_groups(spark, groups), source, path)
 
 
 def validate_all(spark: SparkSession, folder: str, contract: FusionContract) -> DataFrame:

@@ -89,16 +89,23 @@ def scan_groups(spark: SparkSession, groups: dict[tuple[str, ...], list[str]]) -
     return unite([scan(spark, names, paths, strict=False) for names, paths in groups.items()])
 
 
-def read_text(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """All CSV files of a folder (or one file) as text columns."""
+def file_paths(spark: SparkSession, path: str, pattern: str = "*.csv") -> list[str]:
+    """Names of the files with any content in a folder, or of one file."""
     try:
         listed = list_files(spark, path, pattern).where("length > 0")
-        paths = [r.path for r in listed.collect()]
+        found = sorted(r.path for r in listed.collect())
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(path) from None
-        raise
-    groups = headers(spark, paths)
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = []
+    if not found:
+        raise FileNotFoundError(path)
+    return found
+
+
+def read_text(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+    """All CSV files of a folder (or one file) as text columns."""
+    groups = headers(spark, file_paths(spark, path, pattern))
     if not groups:
         raise FileNotFoundError(f"no CSV header in {path}")
     return scan_groups(spark, groups)
