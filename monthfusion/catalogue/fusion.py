@@ -176,7 +176,7 @@ ORACLES = {
         f" temperature_c_1m_shift, precipitation_mm_1m_shift FROM ({sql.silver(s)})"
         for s in sql.SLOTS
     ),
-    "group_distinct_max": f"SELECT year, month, county, distinct_value_max FROM ({sql.silver('bird', sql.RAW_OUTCOMES)})",
+    "group_distinct_max": f"SELECT year, month, county, source_row_count, distinct_value_max FROM ({sql.silver('bird', sql.RAW_OUTCOMES)})",
     "key_universe": f"{sql.sources()} SELECT year, month, county FROM keys",
     "left_join_sources": f"{sql.sources()} SELECT year, month, county, {_COUNTS} FROM {sql.JOINED}",
     "observation_month": f"""

@@ -48,10 +48,18 @@ def distinct_value_max(
     values, so a key holding a large share of all rows is no single task.  What
     is left is about one row per key, and the per-column distinct counts (which
     Spark runs by expanding every row once per column) work on that only.
+
+    The row count is part of the result on purpose: without it the optimizer
+    sees that removing repeats changes no distinct count, drops that step and
+    expands every raw row.
     """
     names = columns or compared_columns(source)
-    unique = bronze.selectExpr(*KEY_EXPRESSIONS, *map(quoted, names)).distinct()
-    return unique.groupBy("year", "month", "county").agg(F.expr(_exact_distinct(names)))
+    unique = bronze.groupBy(*_columns(KEY_EXPRESSIONS), *_columns([quoted(c) for c in names])).agg(
+        F.expr("count(*) AS n")
+    )
+    return unique.groupBy("year", "month", "county").agg(
+        F.expr("sum(n) AS source_row_count"), F.expr(_exact_distinct(names))
+    )
 
 
 def _group(bronze: DataFrame, source: SourceContract, distinct: str) -> DataFrame:
@@ -67,14 +75,16 @@ def _group(bronze: DataFrame, source: SourceContract, distinct: str) -> DataFram
         )
     if distinct != EXACT:
         raise ValueError(f"distinct must be {EXACT!r} or {GATE!r}, not {distinct!r}")
-    unique = bronze.groupBy(
-        *_columns(KEY_EXPRESSIONS), *_columns([quoted(c) for c in names]), "source_file"
-    ).agg(F.expr("count(*) AS n"), F.expr("max(ingested_at) AS at"))
+    unique = bronze.groupBy(*_columns(KEY_EXPRESSIONS), *_columns([quoted(c) for c in names])).agg(
+        F.expr("count(*) AS n"),
+        F.expr("max(source_file) AS file"),
+        F.expr("max(ingested_at) AS at"),
+    )
     return unique.groupBy("year", "month", "county").agg(
         *_columns(tops),
         F.expr("sum(n) AS source_row_count"),
         F.expr(_exact_distinct(names)),
-        F.expr("max(source_file) AS source_file"),
+        F.expr("max(file) AS source_file"),
         F.expr("max(at) AS latest_ingested_at"),
     )
 

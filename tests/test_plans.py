@@ -5,7 +5,7 @@ import pytest
 from builders import BIRD
 from monthfusion.catalogue import QUERIES
 from monthfusion.catalogue.fusion import silver
-from monthfusion.operators.collapse import EXACT, GATE, collapse
+from monthfusion.operators.collapse import EXACT, GATE, collapse, distinct_value_max
 from monthfusion.operators.fuse import fuse
 from monthfusion.plans.analogs import CONTRACT, all_sources, raw_outcomes, source
 
@@ -38,8 +38,9 @@ def test_gate_shuffles_once_and_reads_what_it_needs(bronze):
     assert "Date" not in schema and "src_1m_shift" not in schema
 
 
-def test_exact_count_expands_combined_rows_only(bronze):
-    text = plan(collapse(bronze, BIRD, EXACT))
+@pytest.mark.parametrize("count", [lambda df: collapse(df, BIRD, EXACT), lambda df: distinct_value_max(df, BIRD)])
+def test_exact_count_expands_combined_rows_only(bronze, count):
+    text = plan(count(bronze))
     # The plan prints the last step first: the expansion must come above (after)
     # the shuffle that follows the removal of repeats.
     assert 0 < text.index("Expand") < text.rindex("Exchange")
