@@ -31,8 +31,9 @@ def county_fold(c: str) -> str:
     Upper then lower case folds the letters that lower case alone keeps apart
     (sharp s, ligatures, long s).  Lower-casing sigma by hand in between avoids
     its word-final form, and keeps the optimizer from dropping the upper case.
+    Capital sharp s stays itself in upper case and is spelled out at the end.
     """
-    return f"lower(translate(upper({strip(c)}), 'Σ', 'σ'))"
+    return f"replace(lower(translate(upper({strip(c)}), 'Σ', 'σ')), 'ß', 'ss')"
 
 
 def month_start(year: str, month: str) -> str:
