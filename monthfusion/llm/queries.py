@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import minhash, quality_rules
+from monthfusion.llm import decontaminate, minhash, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,9 +21,15 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", "first_word", "n_words")).alias("best")).select("doc_id", "item_id", "best.*")
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_decontamination": op6_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

@@ -25,3 +25,13 @@ def words(text: str) -> str:
 def lower_ascii(text: str) -> str:
     """Only A to Z in lower case; other letters stay."""
     return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def plain_words(text: str) -> str:
+    """Array of the runs of digits, letters and non-ASCII characters, in lower case."""
+    return rf"regexp_extract_all(lower(coalesce({text}, '')), r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', 0)"
+
+
+def run_hash(words_name: str, at: str, size: int) -> str:
+    """Hash of ``size`` consecutive words from position ``at``."""
+    return f"xxhash64({size}, " + ", ".join(f"get({words_name}, cast({at} + {k} AS int))" for k in range(size)) + ")"
