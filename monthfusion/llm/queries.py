@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import decontaminate, minhash, quality_rules
+from monthfusion.llm import decontaminate, minhash, quality_rules, token_records
+from monthfusion.sources.scratch import scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def production_encoding() -> token_records.Encoding:
+    import public_tokenizers
+
+    return token_records.Encoding(public_tokenizers.path("byte_bpe_50k.json"), 2)
+
+
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "token-records")
+    index = token_records.write_records(spark, table(spark, sf_dir, "documents"), folder, production_encoding())
+    return token_records.read_files(spark, index)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(spark, table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("quality"))
@@ -27,6 +40,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
