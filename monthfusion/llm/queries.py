@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import decontaminate, minhash, quality_rules, token_records
+from monthfusion.llm import decontaminate, minhash, mixing, quality_rules, token_records
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -30,6 +30,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.col("quality"))
 
 
+def op3_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    taken = mixing.with_copies(documents, mixing.mix(spark, documents))
+    return taken.select(
+        "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+        (F.col("mix_taken") * F.col("mix_size")).alias("taken"),
+    )
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -42,6 +51,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
+    "op3_pareto_mixing": op3_pareto_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
 }
