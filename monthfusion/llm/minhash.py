@@ -249,3 +249,30 @@ class NearDuplicates:
 def near_duplicates(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """One row per document: its class (``component_id``) and whether it is kept."""
     return NearDuplicates(spark, documents).classes()
+
+
+def keep_one(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """One row of ``documents`` of each class, the least id, columns unchanged.
+
+    Among rows of one class with that same id the text with the least hash stays, and
+    of equal rows one; only rows that repeat are grouped for this.
+    """
+    classes = near_duplicates(spark, documents).where("kept")
+    # A document without words is a class of its own.
+    first = F.min(F.struct("text_hash"))
+    chosen = classes.groupBy("component", "component_id", F.when(F.col("component").isNull(), F.col("text_hash")).alias("own"))
+    chosen = chosen.agg(first.alias("first"))
+    counts = classes.groupBy(F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash")).agg(F.count(F.lit(1)).alias("n_rows"))
+    keep = chosen.select(F.col("component_id").alias("keep_id"), F.col("first.text_hash").alias("keep_hash"))
+    same_key = keep["keep_hash"] == counts["keep_hash"]
+    keep = keep.join(counts, same_key & keep["keep_id"].eqNullSafe(counts["keep_id"])).select(keep["keep_id"], keep["keep_hash"], "n_rows")
+    folder = scratch_dir(spark, "kept-documents")
+    keep.write.parquet(folder)
+    keep = spark.read.parquet(folder)
+    text_hash = F.xxhash64(F.coalesce(documents["text"], F.lit("")))
+    columns = [documents[f"`{c}`"] for c in documents.columns]
+    joined = documents.join(keep, (text_hash == keep["keep_hash"]) & documents["doc_id"].eqNullSafe(keep["keep_id"]))
+    rows = joined.select(F.struct(*columns).alias("row"), "keep_id", "keep_hash", "n_rows")
+    once = rows.where("n_rows = 1").select("row")
+    several = rows.where("n_rows > 1").groupBy("keep_id", "keep_hash").agg(F.any_value("row").alias("row")).select("row")
+    return once.unionByName(several).select(*[F.col(f"row.`{c}`").alias(c) for c in documents.columns])
