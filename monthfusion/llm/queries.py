@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import decontaminate, minhash, mixing, quality_rules, token_records
+from monthfusion.llm import decontaminate, minhash, mixing, quality_rules, secrets, token_records
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -48,12 +48,19 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", "first_word", "n_words")).alias("best")).select("doc_id", "item_id", "best.*")
 
 
+def op8_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = secrets.Ledger(spark, scratch_dir(spark, "secret-ledger"))
+    found = secrets.scan_paths(spark, table(spark, sf_dir, "documents"), ledger)
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
     "op3_pareto_mixing": op3_pareto_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
+    "op8_secret_ledger": op8_secret_ledger,
 }
 
 ORACLES: dict[str, str] = {}
