@@ -43,6 +43,9 @@ from monthfusion.sources.shipping import ship_package
 
 BANDS, ROWS = 64, 6
 BINS = BANDS * ROWS
+#: Pairs across components, per node of the corpus, that are compared one by one
+#: before the next centres are tried.
+PAIRS_PER_NODE = 8
 #: A link needs PERCENT * union <= 100 * intersection.
 PERCENT = 75
 
@@ -170,9 +173,10 @@ class NearDuplicates:
         """(node, text) for the nodes of all buckets."""
         wanted = buckets.select(F.explode(F.array("node", "center")).alias("node")).distinct()
         reps = nodes.join(wanted, "node").select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))
-        docs = self.documents.groupBy("doc_id", "text_hash").agg(F.any_value("text").alias("text"))
+        reps, docs = self.save(reps), self.documents
         same = docs["doc_id"].eqNullSafe(reps["rep_id"]) & (docs["text_hash"] == reps["rep_hash"])
-        return self.save(docs.join(reps, same).select("node", "text"))
+        # Repeated rows are combined only now: most documents share no bucket.
+        return self.save(docs.join(reps, same).groupBy("node").agg(F.any_value("text").alias("text")))
 
     def verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links.  ``a`` may be a centre of very many pairs:
@@ -204,6 +208,7 @@ class NearDuplicates:
 
     def search(self, nodes: DataFrame) -> DataFrame:
         """(node, label) by all links found."""
+        n_nodes = nodes.count()
         rows = self.buckets(nodes)
         texts = self.texts(nodes, rows)
         links = self.verify(rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), texts)
@@ -216,12 +221,14 @@ class NearDuplicates:
                 return labels
             keys = rows.join(apart, ["center", "node"]).select("key").distinct()
             rest = self.save(self.labelled(rows.join(keys, "key").select("key", "node"), labels, "node"))
-            within = rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("node_label").alias("parts")).where("parts > 1")
-            total, size = within.agg(F.sum(F.expr("n * (n - 1) / 2")), F.sum("n")).first()
+            parts = rest.groupBy("key", "node_label").agg(F.count(F.lit(1)).alias("n"))
+            within = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.expr("(sum(n) * sum(n) - sum(n * n)) / 2").alias("pairs"))
+            within = self.save(within.where("parts > 1"))
+            total = within.agg(F.sum("pairs")).first()[0]
             if not total:
                 return labels
             rest = rest.join(within.select("key"), "key")
-            if total <= 4 * size:
+            if total <= PAIRS_PER_NODE * n_nodes:
                 other = rest.select("key", F.col("node").alias("b"), F.col("node_label").alias("b_label"))
                 left = rest.join(other, "key").where("node < b AND node_label != b_label")
                 links = self.save(links.unionByName(self.verify(left.select(F.col("node").alias("a"), "b").distinct(), texts)))
