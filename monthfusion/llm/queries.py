@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import decontaminate, minhash, mixing, quality_rules, secrets, token_records
+from monthfusion.llm import decontaminate, licenses, minhash, mixing, quality_rules, secrets, token_records
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -54,6 +54,10 @@ def op8_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op9_license_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
@@ -61,6 +65,7 @@ QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_decontamination": op6_decontamination,
     "op8_secret_ledger": op8_secret_ledger,
+    "op9_license_votes": op9_license_votes,
 }
 
 ORACLES: dict[str, str] = {}
