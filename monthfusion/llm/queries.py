@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import decontaminate, licenses, minhash, mixing, quality_rules, secrets, token_records
+from monthfusion.llm import decontaminate, licenses, minhash, mixing, quality_rules, secrets, token_records, warc
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -58,6 +58,11 @@ def op9_license_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(spark, table(spark, sf_dir, "documents"))
 
 
+def op10_warc_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_archives(spark, table(spark, sf_dir, "pages"), scratch_dir(spark, "warc"))
+    return warc.read_archives(spark, archives)
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
@@ -66,6 +71,7 @@ QUERIES = {
     "op6_decontamination": op6_decontamination,
     "op8_secret_ledger": op8_secret_ledger,
     "op9_license_votes": op9_license_votes,
+    "op10_warc_chains": op10_warc_chains,
 }
 
 ORACLES: dict[str, str] = {}
