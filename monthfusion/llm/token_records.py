@@ -127,7 +127,7 @@ def _write(folder: str, encoding: Encoding, batches: Iterator[pa.RecordBatch]) -
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([file] * n), pa.array([number] * n, pa.int64()), pa.array(at + np.cumsum(sizes) - sizes), pa.array(sizes),
+                        pa.array([file] * n, pa.string()), pa.array([number] * n, pa.int64()), pa.array(at + np.cumsum(sizes) - sizes), pa.array(sizes),
                         pa.array(ids, pa.int64()), pa.array(counts), pa.array(start + np.cumsum(counts) - counts),
                     ],
                     names=["file", "file_number", "offset", "n_bytes", "doc_id", "n_tokens", "start_in_file"],

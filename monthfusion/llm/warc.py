@@ -155,7 +155,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for offset, _, following in reversed(found):  # the chain within this range, from behind
                 leave[offset] = leave.get(following, following)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([path] * len(found)), pa.array([start] * len(found), pa.int64()), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3)), pa.array([leave[f[0]] for f in found], pa.int64())],
+                [pa.array([path] * len(found), pa.string()), pa.array([start] * len(found), pa.int64()), *(pa.array([f[k] for f in found], pa.int64()) for k in range(3)), pa.array([leave[f[0]] for f in found], pa.int64())],
                 names=["path", "range_start", "offset", "block", "following", "leaves"],
             )
 
