@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import decontaminate, licenses, minhash, mixing, quality_rules, secrets, token_records, warc
+from monthfusion.llm import classifier, decontaminate, licenses, minhash, mixing, quality_rules, secrets, token_records, warc
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -63,6 +63,10 @@ def op10_warc_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, archives)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_secret_ledger": op8_secret_ledger,
     "op9_license_votes": op9_license_votes,
     "op10_warc_chains": op10_warc_chains,
+    "op7_quality_classifier": op7_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {}
