@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthfusion.llm.batches import give_back, small_batches
 from monthfusion.llm.words import chunks, numbers, text_bytes, word_hashes, word_spans
 from monthfusion.sources.scratch import scratch_dir
 from monthfusion.sources.shipping import ship_package
@@ -109,6 +110,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = statistics(batch.column("text"))
         lists = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), len(STATISTICS)).cast(pa.list_(pa.float64()))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), lists], names=["doc_id", "x"])
+    give_back()
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -191,7 +193,8 @@ def quality_scores(spark: SparkSession, documents: DataFrame, labels: DataFrame)
     """Per row of ``documents``: doc_id, held_out, score, predicted."""
     ship_package(spark)
     folder = scratch_dir(spark, "quality-classifier")
-    documents.select("doc_id", "text").mapInArrow(_features, "doc_id long, x array<double>").write.parquet(f"{folder}/features")
+    with small_batches(spark):
+        documents.select("doc_id", "text").mapInArrow(_features, "doc_id long, x array<double>").write.parquet(f"{folder}/features")
     features = spark.read.parquet(f"{folder}/features")
     n = len(STATISTICS)
     sums = [F.sum(F.col("x")[k]).alias(f"s{k}") for k in range(n)] + [F.sum(F.col("x")[k] * F.col("x")[k]).alias(f"q{k}") for k in range(n)]

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthfusion.llm.batches import give_back, small_batches
 from monthfusion.llm.words import mix, numbers, shingle_sets
 from monthfusion.sources.scratch import scratch_dir
 from monthfusion.sources.shipping import ship_package
@@ -113,6 +114,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
         ids = batch.column("doc_id").cast(pa.int64())
         yield pa.RecordBatch.from_arrays([ids, batch.column("text_hash"), pa.array(n, pa.int64()), *(pa.array(s, pa.int64()) for s in sums), lists], schema=SKETCH)
+    give_back()
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -136,6 +138,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if 100 * both >= PERCENT * (len(last_set) + len(other) - both):
                 kept.append(k)
         yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(kept, pa.int64())) for c in ("a", "b")], names=["a", "b"])
+    give_back()
 
 
 class NearDuplicates:
@@ -151,7 +154,8 @@ class NearDuplicates:
     def save(self, df: DataFrame) -> DataFrame:
         self.step += 1
         path = f"{self.folder}/{self.step}"
-        df.write.parquet(path)
+        with small_batches(self.spark):
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def sketches(self) -> DataFrame:

@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from monthfusion.llm.batches import give_back, small_batches
 from monthfusion.llm.crc32c import crc32c, masked
 from monthfusion.llm.files import new_file, open_file
 from monthfusion.sources.shipping import ship_package
@@ -134,6 +135,7 @@ def _write(folder: str, encoding: Encoding, batches: Iterator[pa.RecordBatch]) -
                 )
                 at, start = at + int(sizes.sum()), start + int(counts.sum())
             first = next(batches, None)
+    give_back()
 
 
 def write_records(spark: SparkSession, documents: DataFrame, folder: str, encoding: Encoding) -> DataFrame:
@@ -143,7 +145,8 @@ def write_records(spark: SparkSession, documents: DataFrame, folder: str, encodi
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = keyed.repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order)
-    dealt.mapInArrow(partial(_write, f"{folder}/records", encoding), INDEX_DDL).write.parquet(f"{folder}/index")
+    with small_batches(spark):
+        dealt.mapInArrow(partial(_write, f"{folder}/records", encoding), INDEX_DDL).write.parquet(f"{folder}/index")
     return spark.read.parquet(f"{folder}/index")
 
 

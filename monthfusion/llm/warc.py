@@ -37,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from monthfusion.llm.batches import give_back, small_batches
 from monthfusion.llm.files import new_file, open_file
 from monthfusion.sources.scratch import scratch_dir
 from monthfusion.sources.shipping import ship_package
@@ -104,12 +105,15 @@ def _write(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
                 size += len(data)
             batch = next(batches, None)
     yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size], pa.int64())], names=["path", "size"])
+    give_back()
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, folder: str) -> DataFrame:
     """Write archives under ``folder``; returns (path, size) of each."""
     ship_package(spark)
-    deduplicated(spark, pages).mapInArrow(partial(_write, f"{folder}/archives"), "path string, size long").write.parquet(f"{folder}/list")
+    rows = deduplicated(spark, pages)
+    with small_batches(spark):
+        rows.mapInArrow(partial(_write, f"{folder}/archives"), "path string, size long").write.parquet(f"{folder}/list")
     return spark.read.parquet(f"{folder}/list")
 
 
