@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import classifier, decontaminate, licenses, minhash, mixing, quality_rules, secrets, token_records, warc
+from monthfusion.llm import classifier, decontaminate, hidden_markov, licenses, minhash, mixing, quality_rules, secrets, token_records, warc
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -67,6 +67,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality_scores(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.scores(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
@@ -77,6 +81,7 @@ QUERIES = {
     "op9_license_votes": op9_license_votes,
     "op10_warc_chains": op10_warc_chains,
     "op7_quality_classifier": op7_quality_classifier,
+    "op4_hidden_markov": op4_hidden_markov,
 }
 
 ORACLES: dict[str, str] = {}
