@@ -47,6 +47,8 @@ BINS = BANDS * ROWS
 #: Pairs across components, per node of the corpus, that are compared one by one
 #: before the next centres are tried.
 PAIRS_PER_NODE = 8
+#: Rows of pairs and labels that a task takes, and the least number of tasks.
+ROWS_PER_TASK, LEAST_TASKS = 20_000, 8
 #: A link needs PERCENT * union <= 100 * intersection.
 PERCENT = 75
 
@@ -149,7 +151,11 @@ class NearDuplicates:
         self.spark = spark
         self.folder = scratch_dir(spark, "near-duplicates")
         self.documents = keyed(documents)
-        self.step = 0
+        self.step, self.parts = 0, 1
+
+    def few(self, df: DataFrame) -> DataFrame:
+        """Tables of pairs and labels are small beside the texts: fewer tasks, by their rows."""
+        return df.coalesce(self.parts)
 
     def save(self, df: DataFrame) -> DataFrame:
         self.step += 1
@@ -187,47 +193,55 @@ class NearDuplicates:
         its text is joined last, so that Spark can split the key, and hashed once per run."""
         b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        return self.save(pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, PAIR_DDL))
+        return self.save(self.few(self.few(pairs.join(b, "b")).join(a, "a")).select("a", "b", "text_a", "text_b").mapInArrow(_verify, PAIR_DDL))
 
     def components(self, links: DataFrame) -> DataFrame:
-        """(node, label): the least node of its component, for nodes with links."""
-        edges, before = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), None
+        """(node, label): the least node of its component, for nodes with links.
+
+        Ends when every edge leads from a node with no other edge to a root.
+        """
+        edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
         while True:
             both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
             least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-            large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-            large = self.save(large)
+            large = self.few(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+            large = self.save(self.few(large))
             down = large.groupBy("u").agg(F.min("v").alias("m"))
             small = large.join(down, "u").select(F.explode(F.expr("array(struct(u AS u, m AS v), struct(v AS u, m AS v))")).alias("e"))
-            edges = self.save(small.select("e.*").where("u != v").distinct())
-            now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-            if now == before:
+            edges = self.save(self.few(self.few(small.select("e.*").where("u != v")).distinct()))
+            several = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+            inner = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
+            if self.few(several.unionByName(inner)).isEmpty():
                 return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-            before = now
 
     def labelled(self, rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
         renamed = labels.select(F.col("node").alias(column), F.col("label").alias(f"{column}_label"))
         joined = rows.join(renamed, column, "left")
         return joined.withColumn(f"{column}_label", F.coalesce(f"{column}_label", column))
 
+    def contracted(self, labels: DataFrame, links: DataFrame) -> DataFrame:
+        """What is known, one edge for each node, and new links."""
+        return labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(links)
+
     def search(self, nodes: DataFrame) -> DataFrame:
         """(node, label) by all links found."""
         n_nodes = nodes.count()
         rows = self.buckets(nodes)
+        self.parts = max(LEAST_TASKS, rows.count() // ROWS_PER_TASK)
         texts = self.texts(nodes, rows)
         links = self.verify(rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), texts)
         while True:
             labels = self.components(links)
             # Pairs of a centre and a member that are still apart name the buckets to go on with.
             pairs = self.labelled(self.labelled(rows.select("center", "node").distinct(), labels, "node"), labels, "center")
-            apart = self.save(pairs.where("node_label != center_label").select("center", "node"))
+            apart = self.save(self.few(pairs.where("node_label != center_label").select("center", "node")))
             if apart.isEmpty():
                 return labels
             keys = rows.join(apart, ["center", "node"]).select("key").distinct()
-            rest = self.save(self.labelled(rows.join(keys, "key").select("key", "node"), labels, "node"))
+            rest = self.save(self.few(self.labelled(rows.join(keys, "key").select("key", "node"), labels, "node")))
             parts = rest.groupBy("key", "node_label").agg(F.count(F.lit(1)).alias("n"))
             within = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.expr("(sum(n) * sum(n) - sum(n * n)) / 2").alias("pairs"))
-            within = self.save(within.where("parts > 1"))
+            within = self.save(self.few(within.where("parts > 1")))
             total = within.agg(F.sum("pairs")).first()[0]
             if not total:
                 return labels
@@ -235,13 +249,13 @@ class NearDuplicates:
             if total <= PAIRS_PER_NODE * n_nodes:
                 other = rest.select("key", F.col("node").alias("b"), F.col("node_label").alias("b_label"))
                 left = rest.join(other, "key").where("node < b AND node_label != b_label")
-                links = self.save(links.unionByName(self.verify(left.select(F.col("node").alias("a"), "b").distinct(), texts)))
-                return self.components(links)
+                more = self.verify(self.few(left.select(F.col("node").alias("a"), "b").distinct()), texts)
+                return self.components(self.contracted(labels, more))
             centers = rest.groupBy("key").agg(F.min("node").alias("center"))
             rows = self.save(rest.select("key", "node").join(centers, "key").where("node != center"))
             again = self.labelled(self.labelled(rows.select("center", "node").distinct(), labels, "node"), labels, "center")
             pairs = again.where("node_label != center_label").select(F.col("center").alias("a"), F.col("node").alias("b"))
-            links = self.save(links.unionByName(self.verify(pairs, texts)))
+            links = self.contracted(labels, self.verify(pairs, texts))
 
     def classes(self) -> DataFrame:
         """Per document: doc_id, text_hash, n_shingles, component_id, n_equal (rows with
