@@ -14,12 +14,13 @@ Then, exactly:
 * each candidate pair is compared on the full sets of both texts;
 * where a bucket still holds nodes of different components, its other members are
   compared too: pair by pair across components if these pairs are few in all, else
-  with the next centre, until no bucket is left.  No bucket is cut or skipped;
+  with the next centre, until no bucket is left.  No bucket is cut or skipped.  Pairs
+  across components need ``SHARED`` buckets in common;
 * components are joined by the large-star, small-star method, each step written to
   the shared folder.
 
 With 64 bands of 6 a pair of similarity 0.75 meets in a bucket with chance
-1 - (1 - 0.75^6)^64 > 0.99999.
+1 - (1 - 0.75^6)^64 > 0.99999, and in three with chance 0.9996.
 
 Defined cases: NULL, empty and blank texts have an empty set and are linked with
 nothing.  Texts of fewer than five words are one shingle.  Rows that share an id
@@ -46,7 +47,9 @@ BANDS, ROWS = 64, 6
 BINS = BANDS * ROWS
 #: Pairs across components, per node of the corpus, that are compared one by one
 #: before the next centres are tried.
-PAIRS_PER_NODE = 8
+PAIRS_PER_NODE = 128
+#: Buckets that two nodes share before their texts are compared so.
+SHARED = 3
 #: Rows of pairs and labels that a task takes, and the least number of tasks.
 ROWS_PER_TASK, LEAST_TASKS = 20_000, 8
 #: A link needs PERCENT * union <= 100 * intersection.
@@ -143,6 +146,37 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
+STAR_DDL = "key long, node long, center long"
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by (key, node); a key may begin or end in another task.
+
+    Every node but the first of a key gets that first node as its centre.  The first
+    nodes of this task's first and last key are also handed on alone, without centre.
+    """
+
+    def rows(keys, nodes, centers) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64()), pa.array(centers, pa.int64())], names=["key", "node", "center"])
+
+    opened, last, head = None, None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, nodes = (batch.column(c).to_numpy() for c in ("key", "node"))
+        new = np.concatenate(([last is None or keys[0] != last], keys[1:] != keys[:-1]))
+        at = np.maximum.accumulate(np.where(new, np.arange(len(keys)), -1))
+        heads = np.where(at >= 0, nodes[at], nodes[0] if head is None else head)
+        if last is None:
+            opened = int(keys[0])
+            yield rows([opened], [int(nodes[0])], [None])
+        yield rows(keys[~new], nodes[~new], heads[~new])
+        last, head = int(keys[-1]), int(heads[-1])
+    if last is not None and last != opened:
+        yield rows([last], [head], [None])
+    give_back()
+
+
 class NearDuplicates:
     """The steps of one run; every table named here lies in the shared folder."""
 
@@ -157,10 +191,10 @@ class NearDuplicates:
         """Tables of pairs and labels are small beside the texts: fewer tasks, by their rows."""
         return df.coalesce(self.parts)
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, batch_rows: int = 1000) -> DataFrame:
         self.step += 1
         path = f"{self.folder}/{self.step}"
-        with small_batches(self.spark):
+        with small_batches(self.spark, batch_rows):
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -174,10 +208,18 @@ class NearDuplicates:
         return self.save(one.withColumn("node", F.monotonically_increasing_id()))
 
     def buckets(self, nodes: DataFrame) -> DataFrame:
-        """(key, node, center) for every node that shares a bucket, centres left out."""
+        """(key, node, center) for every node that shares a bucket, centres left out.
+
+        Ranges of (key, node) are dealt to tasks, so a crowded bucket is spread over
+        several; each part has its own centre, and the parts' centres get a star too.
+        """
         rows = nodes.select("node", F.explode("bands").alias("key"))
-        centers = rows.groupBy("key").agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        return self.save(rows.join(centers, "key").where("node != center"))
+        tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = rows.repartitionByRange(tasks, "key", "node").sortWithinPartitions("key", "node")
+        stars = self.save(dealt.mapInArrow(_stars, STAR_DDL), batch_rows=10_000)
+        parts = stars.where("center IS NULL").select("key", "node")  # two rows for each task
+        first = parts.groupBy("key").agg(F.min("node").alias("center"))
+        return stars.where("center IS NOT NULL").unionByName(parts.join(first, "key").where("node != center"))
 
     def texts(self, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
         """(node, text) for the nodes of all buckets."""
@@ -229,16 +271,19 @@ class NearDuplicates:
         rows = self.buckets(nodes)
         self.parts = max(LEAST_TASKS, rows.count() // ROWS_PER_TASK)
         texts = self.texts(nodes, rows)
-        links = self.verify(rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct(), texts)
+        pairs = rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+        links = self.verify(pairs, texts)
         while True:
             labels = self.components(links)
             # Pairs of a centre and a member that are still apart name the buckets to go on with.
-            pairs = self.labelled(self.labelled(rows.select("center", "node").distinct(), labels, "node"), labels, "center")
-            apart = self.save(self.few(pairs.where("node_label != center_label").select("center", "node")))
+            known = self.labelled(self.labelled(pairs, labels, "a"), labels, "b")
+            apart = self.save(self.few(known.where("a_label != b_label").select("a", "b")))
             if apart.isEmpty():
                 return labels
-            keys = rows.join(apart, ["center", "node"]).select("key").distinct()
-            rest = self.save(self.few(self.labelled(rows.join(keys, "key").select("key", "node"), labels, "node")))
+            keys = rows.join(apart, (rows["center"] == apart["a"]) & (rows["node"] == apart["b"])).select("key").distinct()
+            left = rows.join(keys, "key")
+            members = left.select("key", "node").unionByName(left.select("key", F.col("center").alias("node"))).distinct()
+            rest = self.save(self.few(self.labelled(members, labels, "node")))
             parts = rest.groupBy("key", "node_label").agg(F.count(F.lit(1)).alias("n"))
             within = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.expr("(sum(n) * sum(n) - sum(n * n)) / 2").alias("pairs"))
             within = self.save(self.few(within.where("parts > 1")))
@@ -247,15 +292,22 @@ class NearDuplicates:
                 return labels
             rest = rest.join(within.select("key"), "key")
             if total <= PAIRS_PER_NODE * n_nodes:
-                other = rest.select("key", F.col("node").alias("b"), F.col("node_label").alias("b_label"))
-                left = rest.join(other, "key").where("node < b AND node_label != b_label")
-                more = self.verify(self.few(left.select(F.col("node").alias("a"), "b").distinct()), texts)
-                return self.components(self.contracted(labels, more))
+                own = rest.join(nodes.select("node", "bands", F.col("n_shingles").alias("n")), "node")
+                other = own.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "node_label", "bands", "n")))
+                apart_still = "node < b_node AND node_label != b_node_label"
+                alike = f"100 * least(n, b_n) >= {PERCENT} * greatest(n, b_n) AND size(array_intersect(bands, b_bands)) >= {SHARED}"
+                met = own.join(other, (own["key"] == other["key"]) & F.expr(f"{apart_still} AND {alike}"))
+                met = self.few(met.select(F.col("node").alias("a"), F.col("b_node").alias("b"))).distinct()
+                untried = self.few(met.join(apart, ["a", "b"], "left_anti"))
+                return self.components(self.contracted(labels, self.verify(untried, texts)))
+            # The next star of every bucket has the least node that was no centre yet.
+            used = left.select("key", F.col("center").alias("node")).distinct()
+            rest = rest.join(used, ["key", "node"], "left_anti").select("key", "node")
             centers = rest.groupBy("key").agg(F.min("node").alias("center"))
-            rows = self.save(rest.select("key", "node").join(centers, "key").where("node != center"))
-            again = self.labelled(self.labelled(rows.select("center", "node").distinct(), labels, "node"), labels, "center")
-            pairs = again.where("node_label != center_label").select(F.col("center").alias("a"), F.col("node").alias("b"))
-            links = self.contracted(labels, self.verify(pairs, texts))
+            rows = self.save(rest.join(centers, "key").where("node != center"))
+            pairs = rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+            again = self.labelled(self.labelled(pairs, labels, "a"), labels, "b")
+            links = self.contracted(labels, self.verify(again.where("a_label != b_label").select("a", "b"), texts))
 
     def classes(self) -> DataFrame:
         """Per document: doc_id, text_hash, n_shingles, component_id, n_equal (rows with
