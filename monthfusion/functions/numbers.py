@@ -18,7 +18,7 @@ NOT_FINITE = "^[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$"
 
 
 # Text of these characters alone is read alike by Spark and the patterns above.
-_PLAIN = "^[-+0-9.eE]+$"
+_PLAIN = "-+0123456789.eE"
 
 
 def is_blank(text: str) -> str:
@@ -33,15 +33,15 @@ def _finite(value: str) -> str:
 def number(text: str) -> str:
     """Text as double: NULL when it is no number, NaN when it is not finite.
 
-    Nearly all values are plain and take a short way: a simple pattern and a
-    cast.  White space, underscores and names of non-finite values take the long
+    Nearly all values are plain and take a short way: a look at their characters
+    and a cast.  White space, underscores and names of non-finite values take the long
     one.
     """
     plain = f"try_cast({text} AS DOUBLE)"
     t = strip(text)
     spelled = f"try_cast(replace({t}, '_', '') AS DOUBLE)"
     return (
-        f"CASE WHEN {text} RLIKE '{_PLAIN}' THEN {_finite(plain)}"
+        f"CASE WHEN translate({text}, '{_PLAIN}', '') = '' THEN {_finite(plain)}"
         f" WHEN {t} RLIKE '{DECIMAL}' THEN {_finite(spelled)}"
         f" WHEN {t} RLIKE '{NOT_FINITE}' THEN double('NaN') END"
     )
@@ -62,7 +62,8 @@ def cast_text(text: str, type_: str) -> str:
         return text
     value = f"try_cast({text} AS {type_})"
     if type_ in ("int", "bigint"):
-        real = f"try_cast({text} AS DOUBLE)"
+        # Not through double, which has no place for all digits of a bigint.
+        real = f"try_cast({text} AS DECIMAL(38, 18))"
         value = (
             f"coalesce({value}, CASE WHEN {real} = floor({real})"
             f" THEN try_cast({real} AS {type_}) END)"

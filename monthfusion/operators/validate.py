@@ -13,14 +13,7 @@ from monthfusion.contracts import FusionContract, SourceContract
 from monthfusion.functions import literal, quoted
 from monthfusion.functions.keys import county_fold
 from monthfusion.functions.numbers import is_blank, number, whole
-from monthfusion.sources.csv_files import (
-    SCAN_ERRORS,
-    file_paths,
-    header,
-    headers,
-    scan,
-    scan_groups,
-)
+from monthfusion.sources.csv_files import file_paths, headers, scan_groups
 
 EMPTY = "empty_required"
 NOT_NUMBER = "nonnumeric"
@@ -293,22 +286,15 @@ def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None)
 def validate_source(spark: SparkSession, path: str, source: SourceContract) -> DataFrame:
     """Validate the file or folder of one source.
 
-    Every file must have the required columns.  Files are first taken to share
-    the header of the first one, which the scan checks as it goes.
+    Every file, an empty one too, must have the required columns: headers are
+    checked apart from the scan, which looks only at columns that it reads.
     """
     try:
         paths = file_paths(spark, path)
     except FileNotFoundError:
         raise ValidationFailed(source.name, f"no source file at {path}") from None
-    first = header(spark, paths[0])
-    require_columns(first, source)
-    try:
-        return assert_valid(scan(spark, first, paths, strict=True), source, path)
-    except SCAN_ERRORS:
-        groups = headers(spark, paths)
-        if groups == {first: paths}:
-            raise
-    for names in groups:
+    groups = headers(spark, paths)
+    for names in sorted(groups):
         require_columns(names, source)
     return assert_valid(scan_groups(spark, groups), source, path)
 

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from monthfusion.functions import quoted
@@ -22,20 +23,12 @@ MALFORMED = "_malformed_record"
 FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 SCAN_ERRORS = (PySparkException, Py4JJavaError)
 
-_HEADER_READERS = 16
-
 
 def literal_path(path: str) -> str:
     """A path whose own brackets and stars are not taken for a pattern."""
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """Files (path, length) in a folder; the contents are not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-    return listing.option("recursiveFileLookup", "true").load(path).select("path", "length")
-
-
 def header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names of one file.
 
@@ -45,13 +38,28 @@ def header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", "true").csv(literal_path(path)).columns)
 
 
+def _plain_uri(path: str) -> str:
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
 def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header."""
+    """Files grouped by their header; files without any line have the header ``()``.
+
+    One job takes the first line of every file; column names are then looked up
+    once for each distinct line.
+    """
+    lines = spark.read.text([literal_path(p) for p in paths]).selectExpr(
+        "value", "_metadata.file_path AS path", "_metadata.file_block_start AS start", "monotonically_increasing_id() AS place"
+    )
+    first = lines.where("start = 0 AND trim(value) != ''").groupBy("path").agg(F.min_by("value", "place").alias("line"))
+    line = {_plain_uri(unquote(r.path)): r.line for r in first.collect()}
+    names: dict[str | None, tuple[str, ...]] = {None: ()}
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(_HEADER_READERS) as pool:
-        for path, names in zip(paths, pool.map(lambda p: header(spark, p), paths)):
-            groups.setdefault(names, []).append(path)
-    groups.pop((), None)
+    for path in paths:
+        found = line.get(_plain_uri(path if ":" in path else f"file:{path}"))
+        if found not in names:
+            names[found] = header(spark, path)
+        groups.setdefault(names[found], []).append(path)
     return groups
 
 
@@ -89,11 +97,16 @@ def scan_groups(spark: SparkSession, groups: dict[tuple[str, ...], list[str]]) -
     return unite([scan(spark, names, paths, strict=False) for names, paths in groups.items()])
 
 
-def file_paths(spark: SparkSession, path: str, pattern: str = "*.csv") -> list[str]:
-    """Names of the files with any content in a folder, or of one file."""
+def file_paths(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
+    """Names of the files in a folder, or of one file; empty files are files too.
+
+    Spark lists them, and leaves out names that begin with ``_`` or ``.``.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern:
+        listing = listing.option("pathGlobFilter", pattern)
     try:
-        listed = list_files(spark, path, pattern).where("length > 0")
-        found = sorted(r.path for r in listed.collect())
+        found = sorted(unquote(p) for p in listing.load(path).inputFiles())
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -103,9 +116,10 @@ def file_paths(spark: SparkSession, path: str, pattern: str = "*.csv") -> list[s
     return found
 
 
-def read_text(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+def read_text(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """All CSV files of a folder (or one file) as text columns."""
     groups = headers(spark, file_paths(spark, path, pattern))
+    groups.pop((), None)  # without a header there are no rows
     if not groups:
         raise FileNotFoundError(f"no CSV header in {path}")
     return scan_groups(spark, groups)

@@ -37,6 +37,7 @@ LINEAGE = (
     "source_modification_time timestamp, ingested_at timestamp"
 )
 _COLUMN_LOG = "position int, column_name string, data_type string"
+NO_AGE_LIMIT = "36500d"
 _WIDER = ("int", "bigint", "double")
 _RESERVED = {
     RESCUED,
@@ -58,7 +59,7 @@ class Landing:
     path: str
     pinned: dict[str, str] = field(default_factory=dict)
     renames: dict[str, str] = field(default_factory=dict)
-    pattern: str = "*.csv"
+    pattern: str | None = None
     files_per_batch: int = 1000
 
     @classmethod
@@ -155,6 +156,7 @@ class BronzeTable:
                 if groups == {first: paths}:
                     raise
         groups = groups or headers(self.spark, paths)
+        groups.pop((), None)  # a file without a header has no rows
         if groups:
             new = self._new_columns(groups, known)
             self._track(known, new)
@@ -239,16 +241,18 @@ def ingest(table: BronzeTable) -> StreamingQuery:
     ``files_per_batch`` bounds what a batch hands to the driver: file names.
     """
     landing = table.landing
-    files = (
+    # By default the file source passes over files a week older than the newest it
+    # has seen; a backfill with kept times must be loaded too.
+    reader = (
         table.spark.readStream.format("binaryFile")
         .schema(FILE_LISTING)
-        .option("pathGlobFilter", landing.pattern)
         .option("recursiveFileLookup", "true")
+        .option("maxFileAge", NO_AGE_LIMIT)
         .option("maxFilesPerTrigger", landing.files_per_batch)
-        .load(landing.path)
-        .where("length > 0")
-        .select("path")
     )
+    if landing.pattern:
+        reader = reader.option("pathGlobFilter", landing.pattern)
+    files = reader.load(landing.path).select("path")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         paths = sorted(r.path for r in batch.collect())

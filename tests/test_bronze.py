@@ -1,6 +1,9 @@
 """Incremental ingestion: names, types, growth, rescue, lineage, once only."""
 
+import gzip
 import json
+import os
+import time
 
 import pytest
 
@@ -85,7 +88,7 @@ def test_odd_headers_and_file_names(spark, tmp_path, landing):
     (landing / "sub dir" / "a[1]*.csv").write_bytes(b"\xef\xbb\xbfid,v,v,\n1,2,3,4\n")
     (landing / "empty.csv").write_text("")
     (landing / "note.txt").write_text("id\n99\n")
-    table = bronze(spark, tmp_path, landing)
+    table = bronze(spark, tmp_path, landing, pattern="*.csv")
     run_ingest([table])
     assert rows(table, "id", "v1", "v2", "_c3", order="id") == [(1, 2, 3, 4)]
 
@@ -134,3 +137,28 @@ def test_lineage_and_contract_columns(spark, tmp_path, landing):
         "source_modification_time",
         "ingested_at",
     ]
+
+
+def test_files_of_any_name_and_age_are_loaded(spark, tmp_path, landing):
+    (landing / "a.csv").write_text("id\n1\n")
+    table = bronze(spark, tmp_path, landing)
+    run_ingest([table])
+    old = landing / "b.CSV"
+    old.write_text("id\n2\n")
+    ten_days_ago = time.time() - 10 * 86400
+    os.utime(old, (ten_days_ago, ten_days_ago))
+    run_ingest([table])
+    (landing / "no suffix").write_text("id\n3\n")
+    (landing / "d.csv.gz").write_bytes(gzip.compress(b"id\n4\n"))
+    (landing / "_hidden").write_text("id\n9\n")
+    run_ingest([table])
+    run_ingest([table])
+    assert rows(table, "id", order="id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_large_whole_numbers_keep_their_digits(spark, tmp_path, landing):
+    (landing / "a.csv").write_text("id\n9007199254740993.0\n1e3\n2.5\n")
+    table = bronze(spark, tmp_path, landing, pinned={"id": "bigint"})
+    run_ingest([table])
+    got = {(r.id, r["_rescued_data"] is None) for r in table.read().collect()}
+    assert got == {(9007199254740993, True), (1000, True), (None, False)}

@@ -33,26 +33,27 @@ def refused(spark, path):
     return str(e.value)
 
 
-def test_identical_duplicates_are_accepted(spark, tmp_path):
-    path = bird_file(tmp_path, {}, {})
-    assert report(spark, path) == {
-        "source": "bird",
-        "path": path,
-        "raw_rows": 2,
-        "unique_county_months": 1,
-        "duplicate_rows": 1,
+def test_repeated_rows_are_counted_and_accepted(spark, tmp_path):
+    later = {"Year": "2011", "Month": "2", "County": "lake"}
+    path = bird_file(tmp_path, {}, later, {}, later, later, {**later, "County": "cook", "tp_1m_shift": ""})
+    got = report(spark, path)
+    assert (got.pop("source"), got.pop("path")) == ("bird", path)
+    assert got == {
+        "raw_rows": 6,
+        "unique_county_months": 3,
+        "duplicate_rows": 3,
         "conflict_groups": 0,
-        "incomplete_metadata_rows": 0,
+        "incomplete_metadata_rows": 1,
         "minimum_year": 2002,
-        "maximum_year": 2002,
-        "county_count": 1,
+        "maximum_year": 2011,
+        "county_count": 3,
     }
 
 
 def test_keys_ignore_case_and_outer_space(spark, tmp_path):
-    rows = ({}, {"County": " ADAMS "}, {"Year": "2004.9", "Month": " 9 "}, {"County": "cook"})
+    rows = ({"County": "lake"}, {"County": " LAKE "}, {"Year": "2004.9", "Month": " 9 "}, {"County": "cook"})
     got = report(spark, bird_file(tmp_path, *rows, bom=True))
-    assert (got["raw_rows"], got["unique_county_months"], got["county_count"]) == (4, 3, 2)
+    assert (got["raw_rows"], got["unique_county_months"], got["county_count"]) == (4, 3, 3)
     assert (got["minimum_year"], got["maximum_year"]) == (2002, 2004)
 
 
@@ -63,7 +64,7 @@ def test_conflicting_duplicates_are_rejected(spark, tmp_path):
 
 
 def test_same_numbers_in_other_spelling_do_not_conflict(spark, tmp_path):
-    assert report(spark, bird_file(tmp_path, {}, {"Bird": "2.0", "FIPS": "1.7001e4"}))["duplicate_rows"] == 1
+    assert report(spark, bird_file(tmp_path, {}, {"Bird": "2.0", "FIPS": "10e-1"}))["duplicate_rows"] == 1
 
 
 @pytest.mark.parametrize(
@@ -145,3 +146,19 @@ def test_collected_files(spark):
     folder = Path(os.environ["MONTHFUSION_DATA"])
     for r in validate_all(spark, str(folder), COUNTY_MONTH).collect():
         assert (r.conflict_groups, r.minimum_year, r.maximum_year) == (0, 2002, 2022)
+
+
+def test_every_file_and_header_is_seen(spark, tmp_path):
+    """A column renamed in place, or an empty file, in a folder of good files."""
+    (tmp_path / "a.csv").write_text(csv_text("Bird", {}))
+    (tmp_path / "b.CSV").write_text(csv_text("Bird", {"Month": "9"}).replace("Date", "Dat"))
+    assert "missing required columns: Date" in refused(spark, str(tmp_path))
+    (tmp_path / "b.CSV").write_text(csv_text("Bird", {"Month": "9"}))
+    assert report(spark, str(tmp_path))["raw_rows"] == 2
+    (tmp_path / "c").write_text("")
+    assert "missing required columns: " in refused(spark, str(tmp_path))
+
+
+def test_an_empty_file_alone_lacks_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert "missing required columns: Bird, County" in refused(spark, str(tmp_path))
