@@ -56,6 +56,30 @@ def bronze_stream_ingest(spark, sf_dir):
     return bronze.read().select(*EVENT_COLUMNS, "source_type")
 
 
+def _turn_back(spark: SparkSession, folder: str, days: int) -> None:
+    """Give the files of a delivery a time of change in the past, as copies with kept times have."""
+    files = spark._jvm.org.apache.hadoop.fs
+    place = files.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(place):
+        if not status.getPath().getName().startswith(("_", ".")):
+            system.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+def bronze_backfill(spark, sf_dir):
+    """The second delivery is older than the first, and compressed."""
+    even, odd = _halves(_events(spark, sf_dir))
+    landing = scratch_dir(spark, "landing")
+    bronze = _bronze(spark, landing, **IDS)
+    _drop(even, landing, "first")
+    run_ingest([bronze])
+    odd.write.csv(f"{landing}/second", header=True, compression="gzip")
+    _turn_back(spark, f"{landing}/second", 10)
+    run_ingest([bronze])
+    run_ingest([bronze])
+    return bronze.read().select(*EVENT_COLUMNS)
+
+
 def bronze_header_by_name(spark, sf_dir):
     """Files of one batch with columns in opposite orders."""
     even, odd = _halves(_events(spark, sf_dir))
@@ -131,6 +155,7 @@ def update_from_files(spark, sf_dir):
 
 QUERIES = {
     "bronze_stream_ingest": bronze_stream_ingest,
+    "bronze_backfill": bronze_backfill,
     "bronze_header_by_name": bronze_header_by_name,
     "bronze_infer_types": bronze_infer_types,
     "bronze_add_columns": bronze_add_columns,
@@ -161,6 +186,7 @@ def _fixed(type_: str) -> str:
 
 ORACLES = {
     "bronze_stream_ingest": f"SELECT {_EVENTS}, 'events' AS source_type FROM events",
+    "bronze_backfill": f"SELECT {_EVENTS} FROM events",
     "bronze_header_by_name": f"SELECT {_EVENTS} FROM events",
     "bronze_infer_types": _types_sql(
         ("event_id", _ID_TYPE.format(c="event_id")),

@@ -11,7 +11,7 @@ from monthfusion.catalogue import sql
 from monthfusion.catalogue.fusion import fused, fused_disturbed
 from monthfusion.contracts import TableExpectation, fused_columns
 from monthfusion.operators import validate
-from monthfusion.operators.checks import column_presence, contract_checks
+from monthfusion.operators.checks import column_presence, contract_checks, described_columns
 from monthfusion.operators.collapse import GATE, collapse
 from monthfusion.operators.expectations import (
     ExpectationFailed,
@@ -172,9 +172,38 @@ def validate_report(spark, sf_dir):
     return validate.report(_gaps(spark, sf_dir), BIRD).drop("path")
 
 
+def _arrive(rows: DataFrame, folder: str, name: str) -> None:
+    """Write rows as CSV files of a source, without the columns that loading adds."""
+    rows.drop("source_file", "ingested_at").write.csv(f"{folder}/{name}", header=True)
+
+
 def validate_all(spark, sf_dir):
-    frames = {name: as_text(df) for name, df in all_sources(spark, sf_dir).items()}
-    return validate.report_all(frames, CONTRACT).drop("path")
+    """The three slots as folders of CSV files, checked before they are loaded."""
+    folder = scratch_dir(spark, "source-files")
+    slots = all_sources(spark, sf_dir)
+    for s in CONTRACT.sources:
+        _arrive(slots[s.name], folder, s.file_name or s.name)
+    return validate.validate_all(spark, folder, CONTRACT).drop("path")
+
+
+def validate_headers(spark, sf_dir):
+    """A good folder; then one more delivery, in which a required column has another name."""
+    folder = scratch_dir(spark, "source-files")
+    rows = source(spark, sf_dir, "bird")
+    _arrive(rows.where("Month <= 6"), folder, "first")
+    _arrive(rows.where("Month > 6").select(*reversed(rows.columns)), folder, "second")
+    good = validate.validate_source(spark, folder, CONTRACT.source("bird"))
+    _arrive(rows.where("Month = 7").withColumnRenamed("Date", "Dat"), folder, "third")
+    message = None
+    try:
+        validate.validate_source(spark, folder, CONTRACT.source("bird"))
+    except validate.ValidationFailed as e:
+        message = str(e)
+    return good.select("source", "raw_rows", F.lit(message).alias("refused"))
+
+
+def described_columns_of_gold(spark, sf_dir):
+    return described_columns(fused(spark, sf_dir).select("year", "county", "bird_count", "observation_month", "county_fips", "latitude", "bird_reported"))
 
 
 def contract_check(*names: str, disturbed: bool = False):
@@ -224,6 +253,8 @@ QUERIES = {
     "incomplete_metadata": incomplete_metadata,
     "validate_report": validate_report,
     "validate_all": validate_all,
+    "validate_headers": validate_headers,
+    "described_columns": described_columns_of_gold,
     "contract_row_count": contract_check("row_count"),
     "contract_unique_keys": contract_unique_keys,
     "contract_year_range": contract_check("first_year", "last_year"),
@@ -364,6 +395,12 @@ ORACLES = {
                max(year) AS maximum_year, count(DISTINCT county) AS county_count
         FROM ({_GAP_KEYS})""",
     "validate_all": " UNION ALL ".join(_report_sql(s) for s in sql.SLOTS),
+    "validate_headers": f"""
+        SELECT 'bird' AS source, count(*) AS raw_rows, 'bird: missing required columns: Date' AS refused
+        FROM {_ORDERS}""",
+    "described_columns": """
+        SELECT unnest(['year', 'county', 'bird_count', 'observation_month', 'county_fips', 'latitude', 'bird_reported']) AS "column",
+               unnest(['int', 'string', 'bigint', 'date', 'int', 'double', 'boolean']) AS type""",
     "contract_row_count": _check_sql({"row_count": "count(*)"}, False, sql.gold()),
     "contract_unique_keys": f"""{sql.gold()}
         SELECT 'unique_keys' AS "check", count(*) AS observed, count(*) = 0 AS passed FROM (

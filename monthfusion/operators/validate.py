@@ -306,9 +306,3 @@ def validate_all(spark: SparkSession, folder: str, contract: FusionContract) ->
         for s in contract.sources
     ]
     return reduce(DataFrame.unionAll, reports)
-
-
-def report_all(frames: dict[str, DataFrame], contract: FusionContract) -> DataFrame:
-    """Reports of text sources already at hand, one row per source."""
-    reports = [report(frames[s.name], s) for s in contract.sources]
-    return reduce(DataFrame.unionAll, reports)
