@@ -97,6 +97,26 @@ class FusionContract:
     year_bounds: tuple[int, int] = (2002, 2100)
     month_bounds: tuple[int, int] = (1, 12)
 
+    @property
+    def attributes(self) -> tuple[Attribute, ...]:
+        """Attributes of all sources, each once, in order of appearance."""
+        return self._united("attributes")
+
+    @property
+    def derived(self) -> tuple[Derived, ...]:
+        return self._united("derived")
+
+    def _united(self, part: str) -> tuple:
+        first: dict = {}
+        for s in self.sources:
+            for x in getattr(s, part):
+                first.setdefault(x.name, x)
+        return tuple(first.values())
+
+    def reporting(self, *names: str) -> list[str]:
+        """Sources whose cleaned tables have all of these columns."""
+        return [s.name for s in self.sources if set(names) <= {s.count_column, *(x.name for x in (*s.attributes, *s.derived))}]
+
     def source(self, name: str) -> SourceContract:
         return next(s for s in self.sources if s.name == name)
 
@@ -226,14 +246,14 @@ def fused_columns(contract: FusionContract) -> tuple[str, ...]:
         *(f"{n}_reported" for n in names),
         "reported_activity_types",
         contract.total_column,
-        *attribute_order(contract.sources[0])[1:],
+        *(c for c in attribute_order(contract) if c != "county_fips"),
         *(a.name for a in contract.agreements),
         *(f"{n}_source_file" for n in names),
         "latest_ingested_at",
     )
 
 
-def attribute_order(source: SourceContract) -> tuple[str, ...]:
+def attribute_order(source: SourceContract | FusionContract) -> tuple[str, ...]:
     """Cleaned attributes with every derived unit right after its last input."""
     after = {d.inputs[-1]: d.name for d in source.derived}
     order: list[str] = []

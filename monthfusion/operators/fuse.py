@@ -56,7 +56,8 @@ ALIGN = {"left": align_left, "full": align_full}
 
 def first_reported(contract: FusionContract, name: str) -> str:
     """Value of the most trusted source that has one."""
-    return f"coalesce({', '.join(of(s, name) for s in contract.precedence)})"
+    having = contract.reporting(name)
+    return f"coalesce({', '.join(of(s, name) for s in contract.precedence if s in having)})"
 
 
 def agree(contract: FusionContract, rule: Agreement) -> str:
@@ -65,12 +66,12 @@ def agree(contract: FusionContract, rule: Agreement) -> str:
     Two of several values differ by more than the tolerance exactly when the
     largest and the smallest do, so one comparison replaces all pairs.
     """
-    names = [s.name for s in contract.sources]
-    if len(names) < 2:
-        return "true"
     differs = []
     for c in rule.columns:
         gate = rule.gate or c
+        names = contract.reporting(c, gate)
+        if len(names) < 2:
+            continue
         values = [f"CASE WHEN {of(n, gate)} IS NOT NULL THEN {of(n, c)} END" for n in names]
         present = " + ".join(f"CAST(({v}) IS NOT NULL AS INT)" for v in values)
         high, low = (f"{f}({', '.join(values)})" for f in ("greatest", "least"))
@@ -79,7 +80,7 @@ def agree(contract: FusionContract, rule: Agreement) -> str:
         else:
             apart = f"{high} - {low} > {rule.tolerance!r}D"
         differs.append(f"({present} >= 2 AND {apart})")
-    return f"NOT coalesce({' OR '.join(differs)}, false)"
+    return f"NOT coalesce({' OR '.join(differs)}, false)" if differs else "true"
 
 
 def fuse(silver: Silver, contract: FusionContract, align: str = "left") -> DataFrame:
@@ -91,7 +92,6 @@ def fuse(silver: Silver, contract: FusionContract, align: str = "left") -> DataF
     """
     names = [s.name for s in contract.sources]
     wide = ALIGN[align]({n: silver[n] for n in names})
-    model = contract.sources[0]
 
     count = {n: of(n, f"{n}_count") for n in names}
     latest = ", ".join(of(n, "latest_ingested_at") for n in names)
@@ -102,12 +102,12 @@ def fuse(silver: Silver, contract: FusionContract, align: str = "left") -> DataF
         **{f"{n}_reported": f"{c} IS NOT NULL" for n, c in count.items()},
         "reported_activity_types": " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in count.values()),
         contract.total_column: " + ".join(f"coalesce({c}, 0L)" for c in count.values()),
-        **{a.name: first_reported(contract, a.name) for a in model.attributes},
+        **{a.name: first_reported(contract, a.name) for a in contract.attributes},
         **{a.name: agree(contract, a) for a in contract.agreements},
         **{f"{n}_source_file": of(n, "source_file") for n in names},
         "latest_ingested_at": f"greatest({latest})" if len(names) > 1 else latest,
     }
     # Units come from the chosen components, which may stem from two sources.
-    for d in model.derived:
+    for d in contract.derived:
         value[d.name] = UNITS[d.unit](*(value[c] for c in d.inputs))
     return wide.selectExpr(*(f"{value.get(c, c)} AS {c}" for c in fused_columns(contract)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,17 +49,20 @@ class Update:
         published.
         """
         run_ingest([self.bronze(s.name) for s in self.contract.sources])
-        refused = []
-        for source in self.contract.sources:
-            try:
-                self._refresh_silver(source)
-            except ExpectationFailed as e:
-                refused.append(e)
+        with ThreadPoolExecutor(len(self.contract.sources)) as pool:
+            refused = [e for e in pool.map(self._refused_silver, self.contract.sources) if e]
         if refused:
             raise refused[0]
         self._refresh_gold()
         return self.gold.read()
 
+    def _refused_silver(self, source: SourceContract) -> ExpectationFailed | None:
+        try:
+            self._refresh_silver(source)
+        except ExpectationFailed as e:
+            return e
+        return None
+
     def _refresh_silver(self, source: SourceContract) -> None:
         self.silver(source.name).publish(
             collapse(self.bronze(source.name).read(), source, distinct=GATE),

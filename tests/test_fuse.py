@@ -168,3 +168,20 @@ def test_any_number_of_sources(spark, names):
         assert row.total_reported_non_human_activity == sum(range(1, len(names) + 1))
         assert flags(row) == (True, True, True)
         assert row[f"{names[-1]}_source_file"] == f"{names[-1]}.csv"
+
+
+def test_sources_may_have_different_attributes(spark):
+    """What only a later source declares is fused too, with its unit."""
+    bird, horse, mosquito = COUNTY_MONTH.sources
+    rain = [a for a in bird.attributes if a.name == "precipitation_m_1m_shift"]
+    plain = replace(bird, attributes=tuple(a for a in bird.attributes if a not in rain), derived=())
+    contract = replace(COUNTY_MONTH, sources=(plain, replace(horse, attributes=horse.attributes[:2], derived=()), mosquito))
+    tables = silver(spark, bird=[{"latitude": 2.0}], horse=[{"latitude": 9.0}], mosquito=[{"precipitation_m_1m_shift": 0.5, "latitude": None}])
+    kept = {"bird": contract.sources[0], "horse": contract.sources[1], "mosquito": mosquito}
+    for name, s in kept.items():
+        names = [x.name for x in (*s.attributes, *s.derived)]
+        tables[name] = tables[name].select("year", "month", "county", s.count_column, *names, "source_file", "latest_ingested_at")
+    (row,) = fuse(tables, contract, "full").collect()
+    assert set(row.asDict()) == set(COUNTY_MONTH_TABLE.columns)
+    assert (row.precipitation_m_1m_shift, row.precipitation_mm_1m_shift) == (0.5, 500.0)
+    assert row.latitude == 2.0 and row.wind_u_1m_shift == 1.0
