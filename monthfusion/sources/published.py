@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from monthfusion.operators.expectations import (
     ExpectationFailed,
     failure_counts,
 )
+from monthfusion.sources.paths import path_exists, sql_text
 
 _LOG = "version bigint, row_count bigint, comment string, published_at string"
 EXAMPLES = 5
@@ -36,12 +36,9 @@ class PublishedTable:
 
     def versions(self) -> DataFrame:
         """One row per published version."""
-        try:
+        if path_exists(self.spark, self._log_path):
             return self.spark.read.schema(_LOG).json(self._log_path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _LOG)
+        return self.spark.createDataFrame([], _LOG)
 
     def _version_path(self, version: int) -> str:
         return f"{self.path}/v={version}"
@@ -85,10 +82,8 @@ class PublishedTable:
         """Show the current version, with its comment, in the session catalog."""
         target = ".".join(f"`{part}`" for part in view.split("."))
         path = self._version_path(self.current_version())
-        text = (self.comment() or "").replace("\\", "\\\\").replace("'", "\\'")
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {target} COMMENT '{text}' AS SELECT * FROM parquet.`{path}`"
-        )
+        comment = sql_text(self.comment() or "")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {target} COMMENT {comment} AS SELECT * FROM parquet.`{path}`")
 
 
 def _examples(data: DataFrame, rule: Expectation) -> list[str]:

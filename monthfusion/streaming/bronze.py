@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -30,6 +29,7 @@ from monthfusion.sources.csv_files import (
     scan,
     scan_groups,
 )
+from monthfusion.sources.paths import holds_data, path_exists, sql_text
 
 RESCUED = "_rescued_data"
 LINEAGE = (
@@ -84,13 +84,9 @@ class BronzeTable:
 
         A column keeps the type it was first given.
         """
-        try:
-            log = self.spark.read.schema(_COLUMN_LOG).json(self._columns_path)
-            rows = log.orderBy("position").collect()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            rows = []
+        if not path_exists(self.spark, self._columns_path):
+            return {}
+        rows = self.spark.read.schema(_COLUMN_LOG).json(self._columns_path).orderBy("position").collect()
         return {r.column_name: r.data_type for r in rows}
 
     def _track(self, known: dict[str, str], new: dict[str, str]) -> None:
@@ -122,12 +118,22 @@ class BronzeTable:
         columns that were added later.
         """
         schema = self.schema()
-        try:
-            return self.spark.read.schema(schema).parquet(self.path).selectExpr(*_names(schema))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not holds_data(self.spark, self.path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path).selectExpr(*_names(schema))
+
+    @property
+    def comment(self) -> str:
+        return f"Raw {self.landing.name} observations as delivered, with rescued data and lineage"
+
+    def register(self, view: str) -> None:
+        """Show the table, with its comment, in the session catalog."""
+        schema = self.schema()
+        target = ".".join(quoted(part) for part in view.split("."))
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {target} COMMENT {sql_text(self.comment)} AS"
+            f" SELECT {', '.join(_names(schema))} FROM parquet.`{self.path}`"
+        )
 
     def _write(self, text: DataFrame, types: dict[str, str], batch_id: int) -> None:
         rows = typed(text, types, self.landing)

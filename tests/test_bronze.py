@@ -162,3 +162,14 @@ def test_large_whole_numbers_keep_their_digits(spark, tmp_path, landing):
     run_ingest([table])
     got = {(r.id, r["_rescued_data"] is None) for r in table.read().collect()}
     assert got == {(9007199254740993, True), (1000, True), (None, False)}
+
+
+def test_table_can_be_registered_with_its_comment(spark, tmp_path, landing):
+    (landing / "a.csv").write_text("id,v\n1,x\n")
+    table = bronze(spark, tmp_path, landing)
+    run_ingest([table])
+    table.register("bronze_demo")
+    assert spark.table("bronze_demo").select("id", "v", "source_type").collect() == [(1, "x", "demo")]
+    told = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED bronze_demo").collect()}
+    assert told["Comment"] == table.comment
+    spark.sql("DROP VIEW bronze_demo")
