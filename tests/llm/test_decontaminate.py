@@ -52,7 +52,7 @@ def test_given_tables(spark):
 def test_edited_passages_and_short_items(spark, awkward):
     item = " ".join(f"q{i}" for i in range(40))
     changed = item.split()
-    edits = {10: item, 11: item.upper().replace(" ", "! "), 12: " ".join(changed[:20] + ["odd"] + changed[21:]), 13: " ".join(changed[:9] + ["new"] + changed[9:]), 14: " ".join(changed[5:]), 15: " ".join(changed[::2])}
+    edits = {10: item, 11: item.upper().replace(" ", "! "), 12: " ".join(changed[:37] + ["odd"] + changed[38:]), 13: " ".join(changed[:9] + ["new"] + changed[9:]), 14: " ".join(changed[5:]), 15: " ".join(changed[::2])}
     docs = [(k, f"before {v} after " * (1 + k % 2)) for k, v in edits.items()] + [(20, "only three short words here"), (None, item)]
     items = [(1, item), (2, "three short words"), (3, None), (4, ""), (None, "word1 thing1 of the word2 thing2 of the word3")]
     table = spark.createDataFrame(docs, "doc_id long, text string")
