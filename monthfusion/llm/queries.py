@@ -84,4 +84,18 @@ QUERIES = {
     "op4_hidden_markov": op4_hidden_markov,
 }
 
-ORACLES: dict[str, str] = {}
+#: The other operators train, sample, tokenize or search by hashing, which this SQL cannot
+#: express; tests hold them against plain versions.
+ORACLES: dict[str, str] = {
+    "op10_warc_chains": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        sized AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+            FROM payloads)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+        FROM sized""",
+}
