@@ -14,13 +14,15 @@ Then, exactly:
 * each candidate pair is compared on the full sets of both texts;
 * where a bucket still holds nodes of different components, its other members are
   compared too: pair by pair across components if these pairs are few in all, else
-  with the next centre, until no bucket is left.  No bucket is cut or skipped.  Pairs
-  across components need ``SHARED`` buckets in common;
+  with the next centre, until no bucket is left.  No bucket is cut or skipped.  Before
+  texts are fetched, pairs go that cannot be links by two exact bounds: of the sizes,
+  and of the sets' bitmaps, in which each shingle flips one of ``BITS`` bits: two bitmaps
+  differ in no more bits than the sets differ in shingles;
 * components are joined by the large-star, small-star method, each step written to
   the shared folder.
 
 With 64 bands of 6 a pair of similarity 0.75 meets in a bucket with chance
-1 - (1 - 0.75^6)^64 > 0.99999, and in three with chance 0.9996.
+1 - (1 - 0.75^6)^64 > 0.99999.
 
 Defined cases: NULL, empty and blank texts have an empty set and are linked with
 nothing.  Texts of fewer than five words are one shingle.  Rows that share an id
@@ -48,8 +50,8 @@ BINS = BANDS * ROWS
 #: Pairs across components, per node of the corpus, that are compared one by one
 #: before the next centres are tried.
 PAIRS_PER_NODE = 128
-#: Buckets that two nodes share before their texts are compared so.
-SHARED = 3
+#: Bits of a bitmap, as longs of 64.
+BITS = 1024
 #: Rows of pairs and labels that a task takes, and the least number of tasks.
 ROWS_PER_TASK, LEAST_TASKS = 20_000, 8
 #: A link needs PERCENT * union <= 100 * intersection.
@@ -146,6 +148,28 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
+MAPS = [f"p{k}" for k in range(BITS // 64)]
+BITMAP_DDL = ", ".join(f"{c} long" for c in ["node", "n", *MAPS])
+#: At most so many shingles are in one of two linked sets only, so not more bits differ.
+NOT_TOO_FAR = f"{100 + PERCENT} * ({' + '.join(f'bit_count({c} ^ b_{c})' for c in MAPS)}) <= {100 - PERCENT} * (n + b_n)"
+
+
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n, maps = [], [np.zeros((0, len(MAPS)), np.int64)]
+        for hashes in shingle_sets(batch.column("text")):
+            n.append(len(hashes))
+            maps.append(bitmap(hashes)[None])
+        columns = np.ascontiguousarray(np.concatenate(maps).T)
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n, pa.int64()), *(pa.array(c) for c in columns)], names=["node", "n", *MAPS])
+    give_back()
+
+
 STAR_DDL = "key long, node long, center long"
 
 
@@ -292,10 +316,10 @@ class NearDuplicates:
                 return labels
             rest = rest.join(within.select("key"), "key")
             if total <= PAIRS_PER_NODE * n_nodes:
-                own = rest.join(nodes.select("node", "bands", F.col("n_shingles").alias("n")), "node")
-                other = own.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "node_label", "bands", "n")))
+                own = rest.join(self.save(texts.mapInArrow(_bitmaps, BITMAP_DDL)), "node")
+                other = own.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "node_label", "n", *MAPS)))
                 apart_still = "node < b_node AND node_label != b_node_label"
-                alike = f"100 * least(n, b_n) >= {PERCENT} * greatest(n, b_n) AND size(array_intersect(bands, b_bands)) >= {SHARED}"
+                alike = f"100 * least(n, b_n) >= {PERCENT} * greatest(n, b_n) AND {NOT_TOO_FAR}"
                 met = own.join(other, (own["key"] == other["key"]) & F.expr(f"{apart_still} AND {alike}"))
                 met = self.few(met.select(F.col("node").alias("a"), F.col("b_node").alias("b"))).distinct()
                 untried = self.few(met.join(apart, ["a", "b"], "left_anti"))

@@ -104,6 +104,29 @@ def test_next_centres_find_what_pairs_would(spark, monkeypatch):
     assert spark_result(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def in_buckets(spark, texts, bands):
+    """Groups of text numbers that the search links, with the buckets given."""
+    run = m.NearDuplicates(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    keys = F.create_map(*(F.lit(x) for k, b in enumerate(bands) for x in (k, b)))
+    nodes = run.save(run.nodes(run.sketches()).withColumn("node", F.col("doc_id")).withColumn("bands", keys[F.col("doc_id").cast("int")]))
+    return sorted((r.node, r.label) for r in run.search(nodes).collect())
+
+
+def test_one_common_bucket_is_enough_across_components(spark):
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(f"z{k}" for k in range(60)), " ".join(words), " ".join([*words[:57], "x", "y"])]
+    assert in_buckets(spark, texts, [[7, 1], [7, 2], [7, 3]]) == [(2, 1)]
+
+
+def test_bitmaps_never_differ_more_than_sets():
+    rng = np.random.default_rng(2)
+    for n, own in ((1, 0), (3, 1), (40, 9), (900, 150), (9000, 1500)):
+        both, a, b = (rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (n, own, own // 2))
+        one, two = (np.unique(np.concatenate([both, x])) for x in (a, b))
+        flipped = np.unpackbits((m.bitmap(one) ^ m.bitmap(two)).view(np.uint8)).sum()
+        assert flipped <= len(np.setxor1d(one, two))
+
+
 def test_awkward_rows(spark, awkward, empty):
     rows = [(r.doc_id, r.text) for r in awkward.collect()]
     assert spark_result(spark, awkward) == brute(rows)
