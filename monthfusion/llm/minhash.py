@@ -324,8 +324,9 @@ class NearDuplicates:
                 met = self.few(met.select(F.col("node").alias("a"), F.col("b_node").alias("b"))).distinct()
                 untried = self.few(met.join(apart, ["a", "b"], "left_anti"))
                 return self.components(self.contracted(labels, self.verify(untried, texts)))
-            # The next star of every bucket has the least node that was no centre yet.
-            used = left.select("key", F.col("center").alias("node")).distinct()
+            # The next star of every bucket has the least node that was no centre yet.  A
+            # bucket of several parts has several centres, none of which met all members.
+            used = left.groupBy("key").agg(F.min("center").alias("node"), F.max("center").alias("last")).where("node = last").select("key", "node")
             rest = rest.join(used, ["key", "node"], "left_anti").select("key", "node")
             centers = rest.groupBy("key").agg(F.min("node").alias("center"))
             rows = self.save(rest.join(centers, "key").where("node != center"))

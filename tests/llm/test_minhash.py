@@ -118,6 +118,18 @@ def test_one_common_bucket_is_enough_across_components(spark):
     assert in_buckets(spark, texts, [[7, 1], [7, 2], [7, 3]]) == [(2, 1)]
 
 
+def test_next_centres_of_a_bucket_in_several_parts(spark, monkeypatch):
+    monkeypatch.setattr(m, "PAIRS_PER_NODE", 0)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        words = [[f"w{j}x{k}" for k in range(60)] for j in range(6)]
+        texts = [" ".join(w) for w in words] + [" ".join([*w[:57], "x", "y"]) for w in words]
+        assert in_buckets(spark, texts, [[7]] * 12) == [(k + 6, k) for k in range(6)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_bitmaps_never_differ_more_than_sets():
     rng = np.random.default_rng(2)
     for n, own in ((1, 0), (3, 1), (40, 9), (900, 150), (9000, 1500)):
