@@ -38,7 +38,7 @@ def header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", "true").csv(literal_path(path)).columns)
 
 
-def _plain_uri(path: str) -> str:
+def plain_uri(path: str) -> str:
     return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
 
 
@@ -52,11 +52,11 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list
         "value", "_metadata.file_path AS path", "_metadata.file_block_start AS start", "monotonically_increasing_id() AS place"
     )
     first = lines.where("start = 0 AND trim(value) != ''").groupBy("path").agg(F.min_by("value", "place").alias("line"))
-    line = {_plain_uri(unquote(r.path)): r.line for r in first.collect()}
+    line = {plain_uri(unquote(r.path)): r.line for r in first.collect()}
     names: dict[str | None, tuple[str, ...]] = {None: ()}
     groups: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
-        found = line.get(_plain_uri(path if ":" in path else f"file:{path}"))
+        found = line.get(plain_uri(path if ":" in path else f"file:{path}"))
         if found not in names:
             names[found] = header(spark, path)
         groups.setdefault(names[found], []).append(path)

@@ -22,9 +22,11 @@ from monthfusion.sources.csv_files import (
     FILE_LISTING,
     MALFORMED,
     SCAN_ERRORS,
+    file_paths,
     header,
     headers,
     literal_path,
+    plain_uri,
     same_name,
     scan,
     scan_groups,
@@ -82,7 +84,8 @@ class BronzeTable:
     def tracked(self) -> dict[str, str]:
         """Type of every raw column seen so far, in order of appearance.
 
-        A column keeps the type it was first given.
+        A column keeps the type it was first given, by all files that lay in the
+        folder when the first batch with that column was loaded.
         """
         if not path_exists(self.spark, self._columns_path):
             return {}
@@ -164,10 +167,26 @@ class BronzeTable:
         groups = groups or headers(self.spark, paths)
         groups.pop((), None)  # a file without a header has no rows
         if groups:
-            new = self._new_columns(groups, known)
+            new = self._new_columns(self._lying(groups, known, paths), known)
             self._track(known, new)
             self._write(scan_groups(self.spark, groups), {**known, **new}, batch_id)
 
+    def _lying(
+        self, groups: dict[tuple[str, ...], list[str]], known: dict[str, str], paths: list[str]
+    ) -> dict[tuple[str, ...], list[str]]:
+        """Files that say how new columns are typed: all in the folder, not one batch's.
+
+        Else types would depend on the number of files in a batch.  Files loaded
+        before have none of the new columns.
+        """
+        typed_by = known or self.landing.pinned
+        if all(same_name(typed_by, n) for names in groups for n in names):
+            return groups
+        every = [*file_paths(self.spark, self.landing.path, self.landing.pattern), *paths]
+        found = headers(self.spark, sorted({plain_uri(p): p for p in every}.values(), key=plain_uri))
+        found.pop((), None)
+        return found
+
     def _new_columns(
         self, groups: dict[tuple[str, ...], list[str]], known: dict[str, str]
     ) -> dict[str, str]:

@@ -73,6 +73,28 @@ def test_types_of_one_batch_are_widened(spark, tmp_path, landing):
     assert rows(table, "v", "w", order="id") == [(10.0, "1"), (2.5, "x")]
 
 
+def test_tables_do_not_depend_on_the_files_of_a_batch(spark, tmp_path, landing):
+    texts = ["id,v\n1,10\n", "id,v\n2,2.5\n", "w,id,v\n1,3,3\n", "id,w,v,u\n3000000000,x,4,7\n"]
+    for i, text in enumerate(texts):
+        file = landing / f"{9 - i} b.csv"  # loaded by age, the last name first
+        file.write_text(text)
+        os.utime(file, (1_700_000_000 + i,) * 2)
+    found = []
+    for n in (1, 1000):
+        table = BronzeTable(spark, str(tmp_path / f"by{n}"), Landing("demo", str(landing), files_per_batch=n))
+        run_ingest([table])
+        whole = table.read()
+        found.append((whole.drop("ingested_at").dtypes, rows(table, "id", "v", "w", "u", "_rescued_data", order="id")))
+    assert len(list((tmp_path / "by1" / "bronze_demo_source").glob("batch_id=*"))) == 4
+    assert found[0] == found[1]
+    assert found[0][1] == [
+        (1, 10.0, None, None, None),
+        (2, 2.5, None, None, None),
+        (3, 3.0, "1", None, None),
+        (3000000000, 4.0, "x", 7, None),
+    ]
+
+
 def test_malformed_lines_are_kept(spark, tmp_path, landing):
     (landing / "a.csv").write_text("id,v\n1,10,surplus\n2\n3,30\n")
     table = bronze(spark, tmp_path, landing)
