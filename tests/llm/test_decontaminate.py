@@ -69,6 +69,16 @@ def test_edited_passages_and_short_items(spark, awkward):
     assert clean.where("text IS NULL").count() == 2
 
 
+def test_one_word_replaced_in_the_middle_of_a_short_item(spark):
+    """What the threshold does with it: at 40 words the length of the words decides."""
+    short, even = [f"q{i}" for i in range(40)], [f"q{i + 10}" for i in range(40)]
+    docs = [(k, " ".join(w[:20] + ["odd"] + w[21:])) for k, w in ((1, short), (2, even[:30]), (3, even))]
+    items = [(1, " ".join(short)), (2, " ".join(even[:30])), (3, " ".join(even))]
+    found = result(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert same(found, brute(docs, items))
+    assert (1, 1) not in found and (2, 2) not in found and (3, 3) in found
+
+
 def test_empty_tables(spark, awkward, empty):
     bench = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert result(spark, empty, bench) == {} and result(spark, awkward, bench.limit(0)) == {}
