@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import classifier, decontaminate, hidden_markov, licenses, minhash, mixing, quality_rules, secrets, token_records, warc
+from monthfusion.llm import centroids, classifier, decontaminate, hidden_markov, licenses, minhash, mixing, packing, quality_rules, secrets, token_records, warc
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -71,6 +71,49 @@ def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.scores(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    encoding = token_records.Encoding(public_tokenizers.path("word_bpe_49k.json"), 1)
+    sequences = packing.write_sequences(spark, table(spark, sf_dir, "documents"), scratch_dir(spark, "packed"), encoding)
+    return packing.read_pieces(sequences, encoding)
+
+
+def op12_table_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(spark, table(spark, sf_dir, "embeddings"))
+
+
+def centroid_sql(k: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS) -> str:
+    """The clustering with distances multiplied out, for tables without repeated ids."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        d{r} AS (
+            SELECT vec_id, any_value(x) AS x, min(struct_pack(d := d, c := c)) AS best
+            FROM (SELECT vec_id, x, c, CAST(list_sum(list_transform(list_zip(x, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{r})
+            GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""
+        s{r} AS (
+            SELECT c, list(CAST(CASE WHEN t % n < 0 THEN t // n - 1 ELSE t // n END AS BIGINT) ORDER BY i) AS m
+            FROM (SELECT best.c AS c, i, sum(x[i]) AS t, count(*) AS n FROM d{r}, range(1, {centroids.COMPONENTS + 1}) AS dims(i) GROUP BY ALL)
+            GROUP BY c),
+        c{r + 1} AS (SELECT c{r}.c, coalesce(s{r}.m, c{r}.m) AS m FROM c{r} LEFT JOIN s{r} USING (c))""")
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda e: CAST(floor({centroids.SCALE} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE len(embedding) = {centroids.COMPONENTS} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {centroids.COMPONENTS}),
+        c0 AS (
+            SELECT CAST(row_number() OVER (ORDER BY sha256('{centroids.SEED}:' || vec_id)) - 1 AS INT) AS c, x AS m
+            FROM v ORDER BY c LIMIT {k}),
+        {",".join(steps)}
+        SELECT vec_id, best.c AS cluster, best.d AS distance,
+               CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM d{rounds} JOIN c{rounds} ON best.c = c{rounds}.c"""
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
@@ -82,11 +125,14 @@ QUERIES = {
     "op10_warc_chains": op10_warc_chains,
     "op7_quality_classifier": op7_quality_classifier,
     "op4_hidden_markov": op4_hidden_markov,
+    "op11_harmonic_packing": op11_harmonic_packing,
+    "op12_table_centroids": op12_table_centroids,
 }
 
 #: The other operators train, sample, tokenize or search by hashing, which this SQL cannot
 #: express; tests hold them against plain versions.
 ORACLES: dict[str, str] = {
+    "op12_table_centroids": centroid_sql(),
     "op10_warc_chains": """
         WITH payloads AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest

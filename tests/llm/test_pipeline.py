@@ -8,7 +8,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_names():
     assert [n for n, _ in p.STAGES] == ["quality_rules", "near_dedup", "decontamination", "mixing", "token_records"]
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_stages_act_on_what_is_left(spark, tmp_path):
