@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthfusion.llm import centroids, classifier, decontaminate, hidden_markov, licenses, minhash, mixing, packing, quality_rules, secrets, token_records, warc
+from monthfusion.llm import centroids, classifier, collocations, decontaminate, hidden_markov, licenses, minhash, mixing, packing, quality_rules, secrets, token_records, warc
 from monthfusion.sources.scratch import scratch_dir
 
 
@@ -83,6 +83,10 @@ def op12_table_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op13_filter_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def centroid_sql(k: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS) -> str:
     """The clustering with distances multiplied out, for tables without repeated ids."""
     steps = []
@@ -114,6 +118,41 @@ def centroid_sql(k: int = centroids.CENTROIDS, rounds: int = centroids.ROUNDS) -
         FROM d{rounds} JOIN c{rounds} ON best.c = c{rounds}.c"""
 
 
+def collocation_sql(least: int = collocations.LEAST, top: int = collocations.TOP) -> str:
+    """The phrases counted as lists of words."""
+    return rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+            FROM documents),
+        runs AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+        counted AS (
+            SELECT lang, p, count(*) AS f
+            FROM (SELECT lang, w[i:i + k - 1] AS p
+                  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM runs, range(1, {collocations.LONGEST + 1}) AS sizes(k)))
+            GROUP BY ALL),
+        totals AS (SELECT lang, sum(f) AS n FROM counted WHERE len(p) = 1 GROUP BY ALL),
+        candidates AS (SELECT lang, p, f AS a FROM counted WHERE len(p) > 1 AND f >= {least}),
+        cuts AS (
+            SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r, ({collocations.SCORE} * CAST(c.a AS HUGEINT)) // (l.f + r.f) AS score
+            FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+            JOIN counted l ON l.lang = c.lang AND l.p = c.p[1:k]
+            JOIN counted r ON r.lang = c.lang AND r.p = c.p[k + 1:len(c.p)]),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+        inner_runs AS (
+            SELECT lang, p[i:i + k - 1] AS p, max(a) AS longer
+            FROM (SELECT *, unnest(range(1, len(p) - k + 2)) AS i FROM (SELECT *, unnest(range(2, len(p))) AS k FROM candidates))
+            GROUP BY ALL),
+        ranked AS (
+            SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank
+            FROM lowest LEFT JOIN inner_runs USING (lang, p)
+            WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < {collocations.CONTAINED} * CAST(a AS HUGEINT))
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked JOIN totals USING (lang) WHERE rank <= {top}"""
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_quality_rules": op2_quality_rules,
@@ -127,12 +166,14 @@ QUERIES = {
     "op4_hidden_markov": op4_hidden_markov,
     "op11_harmonic_packing": op11_harmonic_packing,
     "op12_table_centroids": op12_table_centroids,
+    "op13_filter_collocations": op13_filter_collocations,
 }
 
 #: The other operators train, sample, tokenize or search by hashing, which this SQL cannot
 #: express; tests hold them against plain versions.
 ORACLES: dict[str, str] = {
     "op12_table_centroids": centroid_sql(),
+    "op13_filter_collocations": collocation_sql(),
     "op10_warc_chains": """
         WITH payloads AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
