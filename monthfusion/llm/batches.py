@@ -32,3 +32,16 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(name), "malloc_trim", None) if name else None
     if trim:
         trim(0)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``size`` bytes, but for the last."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.nbytes
+        if n >= size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)

@@ -44,23 +44,28 @@ class PieceIds:
             self.young, self.old = {}, self.young
         found = list(map(self.young.get, strings))
         missing = [k for k, ids in enumerate(found) if ids is None]
-        again = {k: ids for k in missing if (ids := self.old.get(strings[k])) is not None}
-        new = [k for k in missing if k not in again]
-        again.update(zip(new, self.learn([strings[k] for k in new]), strict=True))
-        for k, ids in again.items():
-            found[k] = ids
-            if len(strings[k]) <= LONGEST:
-                self.young[strings[k]] = ids
+        again = list(map(self.old.get, [strings[k] for k in missing]))
+        new = [strings[k] for k, ids in zip(missing, again, strict=True) if ids is None]
+        learnt = iter(self.learn(new))
+        for k, ids in zip(missing, again, strict=True):
+            found[k] = ids if ids is not None else next(learnt)
+        self.young.update((strings[k], found[k]) for k in missing if len(strings[k]) <= LONGEST)
         return found
 
-    def of(self, column: pa.Array, before: str = "") -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all strings of a column, each behind ``before``, one after the other,
-        and how many each has."""
+    def of(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all strings of a column, one after the other, and how many each has."""
         coded = column.dictionary_encode()
-        strings = coded.dictionary.to_pylist()
-        raw = self.encode([before + s for s in strings] if before else strings)
+        strings = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        raw = self.encode(strings)
         return expand(np.frombuffer(b"".join(raw), self.width), np.array([len(r) for r in raw], np.int64) // self.width.itemsize, coded.indices.to_numpy())
 
+    def rows(self, lists: pa.ListArray, end_id: int) -> list[bytes]:
+        """For each list of strings the ids of all, and ``end_id`` behind them."""
+        ids, sizes = self.of(lists.flatten())
+        at = np.concatenate(([0], np.cumsum(sizes)))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        raw, w, end = ids.tobytes(), self.width.itemsize, np.array([end_id], self.width).tobytes()
+        return [raw[a * w : b * w] + end for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
 
 def expand(flat: np.ndarray, lengths: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of ``flat`` (run k has ``lengths[k]`` values) with the numbers ``wanted``."""
