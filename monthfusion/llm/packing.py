@@ -51,7 +51,9 @@ SLACK = 16
 #: Pieces below this length are not cut again; a bin of them leaves less than this free.
 SHORT = 32
 #: Marks that are split from the word before them, and how special tokens begin.
-MARKED, SPECIAL = "([A-Za-z])([.,;:!?])", "<|"
+MARKED, SPECIAL = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?#$%&*])", "<|"
+#: Words of lower-case letters that the tokenizer changes in no way.
+WORD = "[a-zß-öø-ÿ]+"
 #: Bytes of texts encoded together.
 TEXTS = 1 << 23
 #: Sequences handed on at once.
@@ -153,7 +155,7 @@ def document_ids(words: PieceIds, column: pa.Array, end_id: int) -> list[bytes]:
 
 
 def _pack(encoding: Encoding, capacity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = _loaded.get(encoding.path) or _loaded.setdefault(encoding.path, PieceIds(encoding.path))
+    words = _loaded.get(encoding.path) or _loaded.setdefault(encoding.path, PieceIds(encoding.path, WORD))
     bins = Bins(capacity, words.width.itemsize)
     number = TaskContext.get().partitionId() << TASK_BITS
     done: list[list[Piece]] = []

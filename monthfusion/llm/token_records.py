@@ -14,10 +14,10 @@ files, not documents.  ``read_files`` streams whole files, ``read_records`` any
 rows in any order; both check lengths and checksums.
 
 Encoding a text piece by piece gives the ids of the whole text for tokenizers that never
-join a token across a piece's end.  A piece is white space and the run of other characters
-behind it, but ends early where letters or digits meet an ASCII mark.  Pieces seen before
-come from a bounded cache.  New plain words are encoded many in one text, and the
-tokenizer's word numbers tell their ids apart; all others are encoded each alone.
+join a token across a piece's end.  A piece ends where a space or a new line follows a
+visible ASCII character or Latin letter, behind such a new line if a letter follows, and
+where a mark follows a letter.  Pieces of a batch are made distinct first, and those seen
+before come from a bounded cache.
 
 Defined cases: NULL and empty texts have the end id only.  Documents without id come
 first.  Equal ids are ordered by a hash of the text, then by the text; repeated rows
@@ -27,7 +27,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -41,24 +40,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from monthfusion.llm.batches import give_back, small_batches
+from monthfusion.llm.batches import gathered, give_back, small_batches
 from monthfusion.llm.crc32c import crc32c, masked
 from monthfusion.llm.files import new_file, open_file
+from monthfusion.llm.pieces import PieceIds
 from monthfusion.sources.shipping import ship_package
 
 HEAD = struct.Struct("<QI")
 NAME = struct.Struct("<qI")
 NO_ID, WIDE = 1, 2
-PIECES = re.compile(r"\s*[^\W_]++(?=[\x00-\x7f]|\Z)|\s*\S+|\s+").findall
-#: A word that is one unit for the tokenizer wherever it stands between others like it.
-PLAIN = re.compile(r" [A-Za-z]+").fullmatch
-#: Plain words encoded in one text.
-TOGETHER = 256
-#: Pieces kept, and the longest of them.
-CACHED, LONGEST = 700_000, 48
+#: Where pieces begin, as the characters before and behind, and what is put between them.
+BORDERS = ("([!-~À-ɏ]\\n)([A-Za-zÀ-ÖØ-öø-ɏ])", "([!-~À-ɏ])([ \\n])", "([A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?#$%&*])")
+BORDER = "\0"
+#: Pieces of Latin letters, with a space before them or not, that the tokenizer takes as one unit.
+WORD = " ?[A-Za-zÀ-ÖØ-öø-ɏ]+"
+#: Bytes of texts encoded together.
+TEXTS = 1 << 23
 #: Bytes of a file read at once; a longer record is read whole.
 BUFFER = 1 << 22
-#: Rows handed back at once, and texts encoded at once.
+#: Rows handed back at once.
 ROWS = 1 << 10
 
 
@@ -70,49 +70,26 @@ class Encoding:
     end_id: int
 
 
-_loaded: dict[str, tuple] = {}
+_loaded: dict[str, PieceIds] = {}
 
 
 def encoder(encoding: Encoding):
     """A function from texts to id arrays; a worker keeps tokenizer and cache for later tasks."""
-    from tokenizers import Tokenizer
-
-    if encoding.path not in _loaded:
-        tokenizer = Tokenizer.from_file(encoding.path)
-        _loaded[encoding.path] = (tokenizer, np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"), {})
-    tokenizer, width, cache = _loaded[encoding.path]
-    end = np.array([encoding.end_id], width).tobytes()
-
-    def alone(pieces: list[str]) -> None:
-        for piece, e in zip(pieces, tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            cache[piece] = np.array(e.ids, width).tobytes()
-
-    def learn(new: set[str]) -> None:
-        plain = [p for p in new if PLAIN(p)]
-        groups = [plain[k : k + TOGETHER] for k in range(0, len(plain), TOGETHER)]
-        for group, e in zip(groups, tokenizer.encode_batch(["".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids, number = np.array(e.ids, width), np.array(e.word_ids)
-            cuts = np.flatnonzero(np.diff(number, prepend=-1)).tolist() + [len(ids)]
-            if len(cuts) - 1 == len(group):
-                raw, size = ids.tobytes(), width.itemsize
-                cache.update((p, raw[a * size : b * size]) for p, a, b in zip(group, cuts[:-1], cuts[1:], strict=True))
-            else:
-                alone(group)
-        alone([p for p in new if p not in cache])
-
-    def encode(texts: list[str]) -> list[bytes]:
-        rows = [PIECES(t) for t in texts]
-        if len(cache) > CACHED:
-            cache.clear()
-        new = set().union(*rows).difference(cache)
-        learn(new)
-        ids = [b"".join(map(cache.__getitem__, row)) + end for row in rows]
-        for piece in new:
-            if len(piece) > LONGEST:
-                del cache[piece]
-        return ids
-
-    return encode, width
+    pieces = _loaded.get(encoding.path) or _loaded.setdefault(encoding.path, PieceIds(encoding.path, WORD))
+
+    def encode(texts: list[str] | pa.Array) -> list[bytes]:
+        column = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        holds_border = pc.match_substring(column, BORDER)
+        cut = column
+        for border in BORDERS:
+            cut = pc.replace_substring_regex(cut, border, f"\\1{BORDER}\\2")
+        # A text that holds the border itself is cut nowhere else and encoded whole.
+        rows = pieces.rows(pc.split_pattern(pc.if_else(holds_border, "", cut), BORDER), encoding.end_id)
+        for k in np.flatnonzero(holds_border.to_numpy(zero_copy_only=False)).tolist():
+            rows[k] = pieces.learn([column[k].as_py()])[0] + rows[k]
+        return rows
+
+    return encode, pieces.width
 
 
 def frames(payloads: list[bytes]) -> list[bytes]:
@@ -134,18 +111,17 @@ def _write(folder: str, encoding: Encoding, batches: Iterator[pa.RecordBatch]) -
     flags = WIDE if width.itemsize == 4 else 0
     number = TaskContext.get().partitionId()
     file = f"{folder}/part-{number:06d}.records"
+    batches = gathered((b for b in batches if b.num_rows), TEXTS)
     first = next(batches, None)
-    while first is not None and not first.num_rows:
-        first = next(batches, None)
     if first is None:
         return
     at = start = 0
     with new_file(file) as out:
         while first is not None:
+            encoded = encode(first.column("text"))
             for low in range(0, first.num_rows, ROWS):
-                part = first.slice(low, ROWS)
-                ids = part.column("doc_id").to_pylist()
-                tokens = encode(pc.fill_null(part.column("text"), "").to_pylist())
+                ids = first.column("doc_id").slice(low, ROWS).to_pylist()
+                tokens = encoded[low : low + ROWS]
                 framed = frames([NAME.pack(i or 0, flags | (NO_ID if i is None else 0)) + t for i, t in zip(ids, tokens, strict=True)])
                 out.write(b"".join(framed))
                 sizes = np.array([len(f) for f in framed], np.int64)

@@ -36,16 +36,16 @@ def test_plan_cuts_every_length_into_few_pieces_that_fill_their_class():
 
 def test_words_alone_have_the_ids_of_whole_texts(tokenizer):
     rng = np.random.default_rng(3)
-    parts = ["a", "Foo", " ", "  ", "\n", "\t", "\x0b", "'", "'S", "don't", ",", "é", "é", "́", "ß", "½", "_", "-", "23", "\xa0", "中", "😀", "\x1c", "\x85", "Σ", "<|endoftext|>", "<|ENDOFTEXT|>", "The,", "End.", ".", "ok?", "İ", "K", "a.b", "'re!"]
+    parts = ["a", "Foo", " ", "  ", "\n", "\t", "\x0b", "'", "'S", "don't", ",", "é", "é", "́", "ß", "½", "_", "-", "23", "\xa0", "中", "😀", "\x1c", "\x85", "Σ", "<|endoftext|>", "<|ENDOFTEXT|>", "The,", "End.", ".", "ok?", "İ", "K", "größe", "ñandú", "Été", "ÿ", "ǆ", "µm", "ªa", "$$", "a#", "é*", "×", "a.b", "'re!"]
     texts = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(3000)] + [None]
-    words = PieceIds(PATH)
+    words = PieceIds(PATH, p.WORD)
     for text, got in zip(texts, p.document_ids(words, pa.array(texts), 1), strict=True):
         assert np.frombuffer(got, words.width).tolist() == whole(tokenizer, text), text
 
 
 def test_forgotten_words_are_learnt_again(tokenizer, monkeypatch):
     monkeypatch.setattr("monthfusion.llm.pieces.KEPT", 3)
-    words = PieceIds(PATH)
+    words = PieceIds(PATH, p.WORD)
     for k in range(20):
         text = " ".join(f"w{j}x {j}" for j in range(k % 7))
         assert np.frombuffer(p.document_ids(words, pa.array([text]), 1)[0], words.width).tolist() == whole(tokenizer, text)

@@ -43,8 +43,8 @@ def test_checksum_of_any_length():
 def test_pieces_give_the_ids_of_whole_texts(tokenizer):
     encode, width = t.encoder(ENCODING)
     random.seed(5)
-    parts = ["a", "foo", " ", "  ", "\n", "\t", "'", "'s", "don't", ",", "é", "ß", "½", "_", "-", "23", " ", "́", "中", "😀", "\x1c", "\x85", " Bar", "<|endoftext|>", "​"]
-    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 12))) for _ in range(3000)]
+    parts = ["a", "foo", " ", "  ", "\n", "\t", "'", "'s", "don't", ",", "é", "ß", "½", "_", "-", "23", " ", "́", "中", "😀", "\x1c", "\x85", " Bar", "<|endoftext|>", "​", "\0", "\x0b", "\xa0", "end.", "s;", "größe", "Éa", "ÿñ", "ɏa", "ǆ", "ª", "ı", "$$", "a\nB", "é\n", "#"]
+    texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 12))) for _ in range(12000)]
     for text, got in zip(texts, encode(texts)):
         assert np.frombuffer(got, width).tolist() == whole(tokenizer, text), text
 
