@@ -16,26 +16,26 @@ TITLE = (
 FACTS = {
     "bird": """
         SELECT CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m,
-               n_nationkey AS n, n_name, 1 AS weight, o_orderkey % 3 AS file_no, o_orderkey
+               n_nationkey AS n, n_name, o_orderkey % 3 AS file_no, o_orderkey
         FROM orders JOIN customer ON o_custkey = c_custkey
         JOIN nation ON c_nationkey = n_nationkey""",
     "horse": """
         SELECT CAST(year(l_shipdate) AS INT) AS y, CAST(month(l_shipdate) AS INT) AS m,
-               n_nationkey AS n, n_name, 1 AS weight, l_linenumber % 3 AS file_no
+               n_nationkey AS n, n_name, l_linenumber % 3 AS file_no
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey""",
     "mosquito": """
-        SELECT CAST(year(l_shipdate) AS INT) AS y, CAST(month(l_shipdate) AS INT) AS m,
-               n_nationkey AS n, n_name, CAST(l_linestatus = 'F' AS INT) AS weight,
-               l_linenumber % 3 AS file_no
+        SELECT CAST(year(l_shipdate) AS INT) AS y, CAST(3 * ((month(l_shipdate) - 1) // 3) + 1 AS INT) AS m,
+               n_nationkey AS n, n_name, l_linenumber % 3 AS file_no
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-        JOIN nation ON s_nationkey = n_nationkey
-        WHERE l_returnflag = 'R' AND l_quantity >= 48""",
+        JOIN nation ON s_nationkey = n_nationkey""",
 }
+OUTCOMES = {"bird": "(y + 3 * m + n) % 11", "horse": "(5 * m + n) % 13", "mosquito": "(y + m * n) % 7"}
 
 
-def raw(slot: str, outcome: str = "sum(weight) OVER (PARTITION BY y, m, n)", kept: str = "") -> str:
+def raw(slot: str, outcome: str | None = None, kept: str = "") -> str:
     """Raw rows of a slot."""
+    outcome = outcome or OUTCOMES[slot]
     rain = "m * 0.0009765625e0"
     if slot == "mosquito":
         rain = f"CASE WHEN n % 7 <> 3 THEN {rain} END"

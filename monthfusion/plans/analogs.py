@@ -3,8 +3,9 @@
 The engine's own data set is not public, so its three sources are stood in for
 by orders and line items: a nation plays the county, a month of orders the
 report.  Every fact row becomes one raw row, and rows of one key repeat the same
-values, as enriched source files do.  All numbers are sums of powers of two, so
-any engine gets the same bits.
+values, as enriched source files do.  All values, outcomes too, follow from a row's own
+key, so a slot is one scan of its facts without a shuffle.  All numbers are sums of
+powers of two, so any engine gets the same bits.
 """
 
 from __future__ import annotations
@@ -42,29 +43,37 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             "month(o_orderdate) AS Month",
             "n_nationkey",
             "n_name",
-            "1 AS weight",
             "o_orderkey % 3 AS file_no",
             "o_orderkey",
         )
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
-    """Line items, or large returned ones, by month and the supplier's nation."""
-    lines = table(spark, sf_dir, "lineitem")
-    if returned:
-        lines = lines.where("l_returnflag = 'R' AND l_quantity >= 48")
+def _lines(spark: SparkSession, sf_dir: str, quarterly: bool) -> DataFrame:
+    """Line items by month, or by the first month of a quarter, and the supplier's nation."""
     people = _with_nation(spark, sf_dir, "supplier", "s_nationkey")
-    return lines.join(people, F.expr("l_suppkey = s_suppkey")).selectExpr(
-        "year(l_shipdate) AS Year",
-        "month(l_shipdate) AS Month",
-        "n_nationkey",
-        "n_name",
-        ("CAST(l_linestatus = 'F' AS INT)" if returned else "1") + " AS weight",
-        "l_linenumber % 3 AS file_no",
+    month = "month(l_shipdate)"
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(people, F.expr("l_suppkey = s_suppkey"))
+        .selectExpr(
+            "year(l_shipdate) AS Year",
+            f"CAST(3 * (({month} - 1) div 3) + 1 AS INT) AS Month" if quarterly else f"{month} AS Month",
+            "n_nationkey",
+            "n_name",
+            "l_linenumber % 3 AS file_no",
+        )
     )
 
 
+# Outcomes by key, some of them zero.
+OUTCOMES = {
+    "bird": "(Year + 3 * Month + n_nationkey) % 11",
+    "horse": "(5 * Month + n_nationkey) % 13",
+    "mosquito": "(Year + Month * n_nationkey) % 7",
+}
+
+
 def enrich(facts: DataFrame, slot: str, outcome: str, *kept: str) -> DataFrame:
     """Raw source columns for fact rows."""
     day = [s.name for s in CONTRACT.sources].index(slot)
@@ -98,15 +107,9 @@ def enrich(facts: DataFrame, slot: str, outcome: str, *kept: str) -> DataFrame:
 
 
 def source(spark: SparkSession, sf_dir: str, slot: str) -> DataFrame:
-    """A consistent slot: the outcome is the number of facts of its key.
-
-    The outcome is joined on from a grouped count.  A window over the key would
-    put all rows of a hot key into one task.
-    """
+    """A consistent slot; the mosquito slot reports once a quarter, so it lacks most keys."""
     facts = _orders(spark, sf_dir) if slot == "bird" else _lines(spark, sf_dir, slot == "mosquito")
-    key = ["Year", "Month", "n_nationkey"]
-    totals = facts.groupBy(*key).agg(F.sum("weight").alias("total"))
-    return enrich(facts.join(totals, key), slot, "total")
+    return enrich(facts, slot, OUTCOMES[slot])
 
 
 def raw_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
