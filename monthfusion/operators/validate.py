@@ -172,10 +172,14 @@ def _normalized(read: DataFrame, source: SourceContract) -> DataFrame:
     )
 
 
-def _varies(name: str) -> str:
-    """Two rows of a group differ in a column; NULL is a value of its own."""
-    c = quoted(name)
-    return f"count({c}) BETWEEN 1 AND count(*) - 1 OR NOT min({c}) <=> max({c})"
+def digest(names: Iterable[str]) -> tuple[str, str]:
+    """Two hashes of 64 bits each of all values of a row, NULL being a value of its own.
+
+    A hash passes over NULL, so the places of NULL values are hashed too.
+    """
+    values = ", ".join(quoted(n) for n in names)
+    places = ", ".join(f"isnull({quoted(n)})" for n in names)
+    return f"xxhash64({values}, {places})", f"xxhash64(1, {places}, {values})"
 
 
 def _lacking(source: SourceContract) -> str:
@@ -183,12 +187,17 @@ def _lacking(source: SourceContract) -> str:
 
 
 def _groups(values: DataFrame, source: SourceContract) -> DataFrame:
-    """Per key: rows, incomplete rows, whether its rows conflict."""
-    conflict = " OR ".join(_varies(n) for n in (source.outcome, *source.files.numeric_columns))
-    return values.groupBy("year", "month", "county").agg(
+    """Per key: rows, incomplete rows, whether its rows conflict.
+
+    Rows of a key differ if least and largest digest do: two numbers a row stand for all
+    of its columns.
+    """
+    first, second = digest((source.outcome, *source.files.numeric_columns))
+    told = values.selectExpr("year", "month", "county", f"{_lacking(source)} AS lacking", f"{first} AS d1", f"{second} AS d2")
+    return told.groupBy("year", "month", "county").agg(
         F.count("*").alias("n"),
-        F.expr(f"count_if({_lacking(source)}) AS incomplete"),
-        F.expr(f"({conflict}) AS conflict"),
+        F.expr("count_if(lacking) AS incomplete"),
+        F.expr("min(d1) <> max(d1) OR min(d2) <> max(d2) AS conflict"),
     )
 
 
@@ -203,9 +212,11 @@ def conflict_groups(df: DataFrame, source: SourceContract) -> DataFrame:
 
     Counting works on rows made unique first, so a hot key is spread over tasks.
     """
-    values = normalized(df, source)
+    first, second = digest((source.outcome, *source.files.numeric_columns))
     return (
-        values.distinct()
+        normalized(df, source)
+        .selectExpr("year", "month", "county", f"{first} AS d1", f"{second} AS d2")
+        .distinct()
         .groupBy("year", "month", "county")
         .agg(F.count("*").alias("variants"))
         .where("variants > 1")

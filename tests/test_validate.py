@@ -8,6 +8,7 @@ import pytest
 from builders import BIRD, csv_text, write_sources
 from monthfusion.contracts import COUNTY_MONTH
 from monthfusion.operators.validate import (
+    digest,
     ValidationFailed,
     missing_columns,
     validate_all,
@@ -162,3 +163,18 @@ def test_every_file_and_header_is_seen(spark, tmp_path):
 def test_an_empty_file_alone_lacks_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     assert "missing required columns: Bird, County" in refused(spark, str(tmp_path))
+
+
+def test_digests_tell_rows_apart(spark):
+    """NULL, zero and NaN in every place; equal values in any spelling are one."""
+    values = ["0.0", "-0.0", "double('NaN')", "NULL", "1.0"]
+    rows = " UNION ALL ".join(f"SELECT CAST({a} AS double) AS a, CAST({b} AS double) AS b, CAST({c} AS double) AS c" for a in values for b in values for c in values)
+    df = spark.sql(rows)
+    digests = df.selectExpr(*(f"{d} AS d{i}" for i, d in enumerate(digest(df.columns)))).distinct()
+    assert digests.count() == df.distinct().count() == 64
+
+
+def test_conflicts_are_found_in_every_column(spark, tmp_path):
+    for c in ("Bird", *BIRD.files.numeric_columns):
+        for other in ("7.25", "" if c != "Bird" else "9"):
+            assert "1 conflicting county-month groups" in refused(spark, bird_file(tmp_path, {c: "7"}, {c: other}))
