@@ -14,6 +14,7 @@ from monthfusion.catalogue.fusion import iso
 from monthfusion.contracts import fused_columns
 from monthfusion.plans.analogs import CONTRACT, all_sources, table
 from monthfusion.plans.update import Update
+from monthfusion.sources.csv_files import read_text
 from monthfusion.sources.scratch import scratch_dir
 from monthfusion.streaming.bronze import RESCUED, BronzeTable, Landing, run_ingest
 
@@ -139,20 +140,58 @@ def bronze_file_lineage(spark, sf_dir):
     )
 
 
-def update_from_files(spark, sf_dir):
-    """The whole update, from CSV files of the three slots to the fused table."""
-    landing = {}
+def _broken_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, whose texts have many lines, without the characters that CSV dialects escape differently."""
+    text = F.translate(F.coalesce("text", F.lit("")), '"\\\r', "   ")
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("> "), text, F.lit(" <")).alias("text"), "lang")
+
+
+def csv_line_breaks(spark, sf_dir):
+    """Text of several lines in quoted cells, by files as a whole folder."""
+    folder = scratch_dir(spark, "broken-text")
+    _broken_text(spark, sf_dir).write.csv(folder, header=True)
+    return read_text(spark, folder).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
+
+
+def bronze_line_breaks(spark, sf_dir):
+    """The same, streamed in two deliveries with columns in opposite orders."""
+    rows, odd = _broken_text(spark, sf_dir), F.col("doc_id") % 2 == 1
+    landing = scratch_dir(spark, "landing")
+    bronze = _bronze(spark, landing, doc_id="bigint", text="string", lang="string")
+    _drop(rows.where(odd), landing, "odd")
+    run_ingest([bronze])
+    _drop(rows.where(~odd).select(*reversed(rows.columns)), landing, "even")
+    run_ingest([bronze])
+    return bronze.read().select("doc_id", "text", "lang", F.col(RESCUED).alias("rescued"))
+
+
+def _updated(spark: SparkSession, sf_dir: str, each: bool) -> DataFrame:
+    """CSV files of the three slots in two deliveries, an update after the last or after each."""
+    slots = {}
     for name, rows in all_sources(spark, sf_dir).items():
-        landing[name] = scratch_dir(spark, f"landing-{name}")
-        raw = rows.drop("source_file", "ingested_at")
-        arrival = raw.withColumnRenamed("Avian_Phylodiversity", "Avian Phylodiversity")
-        _drop(arrival.where("Month <= 6"), landing[name], "first")
-        _drop(arrival.where("Month > 6").select(*reversed(arrival.columns)), landing[name], "second")
-    gold = Update(spark, landing, scratch_dir(spark, "update"), CONTRACT).run()
+        slots[name] = rows.drop("source_file", "ingested_at").withColumnRenamed("Avian_Phylodiversity", "Avian Phylodiversity")
+    landing = {name: scratch_dir(spark, f"landing-{name}") for name in slots}
+    update = Update(spark, landing, scratch_dir(spark, "update"), CONTRACT)
+    for delivery, months in (("first", "Month <= 6"), ("second", "Month > 6")):
+        for name, rows in slots.items():
+            columns = rows.columns if delivery == "first" else reversed(rows.columns)
+            _drop(rows.where(months).select(*columns), landing[name], delivery)
+        if each or delivery == "second":
+            gold = update.run()
     lineage = [c for c in gold.columns if c.endswith("_source_file")]
     return iso(gold.drop(*lineage, "latest_ingested_at"))
 
 
+def update_from_files(spark, sf_dir):
+    """The whole update, from CSV files of the three slots to the fused table."""
+    return _updated(spark, sf_dir, each=False)
+
+
+def update_increments(spark, sf_dir):
+    """The same in two updates, of which the second reads the second delivery only."""
+    return _updated(spark, sf_dir, each=True)
+
+
 QUERIES = {
     "bronze_stream_ingest": bronze_stream_ingest,
     "bronze_backfill": bronze_backfill,
@@ -161,7 +200,10 @@ QUERIES = {
     "bronze_add_columns": bronze_add_columns,
     "bronze_rescued_data": bronze_rescued_data,
     "bronze_file_lineage": bronze_file_lineage,
+    "csv_line_breaks": csv_line_breaks,
+    "bronze_line_breaks": bronze_line_breaks,
     "update_from_files": update_from_files,
+    "update_increments": update_increments,
 }
 
 _EVENTS = ", ".join(EVENT_COLUMNS)
@@ -184,7 +226,13 @@ def _fixed(type_: str) -> str:
     return f"CASE WHEN count(*) > 0 THEN '{type_}' END"
 
 
+_BROKEN = """
+    SELECT doc_id, '> ' || translate(coalesce(text, ''), '"' || chr(92) || chr(13), '   ') || ' <' AS text, lang"""
+
 ORACLES = {
+    "csv_line_breaks": f"{_BROKEN} FROM documents",
+    "bronze_line_breaks": f"{_BROKEN}, CAST(NULL AS VARCHAR) AS rescued FROM documents",
+    "update_increments": f"{sql.gold()} SELECT {_FUSED} FROM gold",
     "bronze_stream_ingest": f"SELECT {_EVENTS}, 'events' AS source_type FROM events",
     "bronze_backfill": f"SELECT {_EVENTS} FROM events",
     "bronze_header_by_name": f"SELECT {_EVENTS} FROM events",

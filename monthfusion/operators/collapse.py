@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthfusion.contracts import SourceContract, attribute_order
@@ -89,6 +89,80 @@ def _group(bronze: DataFrame, source: SourceContract, distinct: str) -> DataFram
     )
 
 
+# -- collapsing in parts ---------------------------------------------------
+
+_KEY = ("year", "month", "county")
+
+
+def _parts(source: SourceContract) -> dict[str, tuple[str, str]]:
+    """Columns of a part: how raw rows give them, and how two values become one."""
+    parts = {}
+    for i, c in enumerate(compared_columns(source)):
+        parts[f"low_{i}"] = (f"min({quoted(c)})", "least")
+        parts[f"high_{i}"] = (f"max({quoted(c)})", "greatest")
+    parts["source_row_count"] = ("count(*)", "sum")
+    parts["latest_ingested_at"] = ("max(ingested_at)", "greatest")
+    return parts
+
+
+def parts_by_file(bronze: DataFrame, source: SourceContract) -> DataFrame:
+    """One row per key and file: what a collapse needs to know of them.
+
+    All values that are kept have a fixed width, so Spark combines rows in hash tables,
+    and a key that holds a large share of all rows is spread over its files.
+    """
+    return bronze.groupBy(*_columns(KEY_EXPRESSIONS), "source_file").agg(
+        *_columns([f"{e} AS {name}" for name, (e, _) in _parts(source).items()])
+    )
+
+
+_AGAIN = {"least": "min", "greatest": "max", "sum": "sum"}
+
+
+def parts_by_key(by_file: DataFrame, source: SourceContract) -> DataFrame:
+    """One row per key from rows per key and file.
+
+    The last file name is found as the largest of numbers that are in the order of the
+    names: a largest text would need sorted rows.  There is one number for each file.
+    """
+    order = Window.orderBy("source_file")
+    numbers = by_file.select("source_file").distinct().select(F.col("source_file").alias("name"), F.row_number().over(order).alias("number"))
+    numbered = by_file.join(numbers, F.col("source_file").eqNullSafe(F.col("name"))).drop("source_file", "name")
+    combined = numbered.groupBy(*_KEY).agg(
+        *_columns([f"{_AGAIN[how]}({name}) AS {name}" for name, (_, how) in _parts(source).items()]), F.max("number").alias("number")
+    )
+    return combined.join(numbers, "number").drop("number").withColumnRenamed("name", "source_file")
+
+
+def merged_parts(old: DataFrame, new: DataFrame, source: SourceContract) -> DataFrame:
+    """Rows of both, one per key; either has at most one row of a key."""
+    a, b = old.alias("a"), new.alias("b")
+    same = " AND ".join(f"a.{k} <=> b.{k}" for k in _KEY)
+    both = {name: f"coalesce(a.{name} + b.{name}, a.{name}, b.{name})" if how == "sum" else f"{how}(a.{name}, b.{name})" for name, (_, how) in _parts(source).items()}
+    both["source_file"] = "greatest(a.source_file, b.source_file)"
+    # A joined row has its key from either side, NULL parts included.
+    return a.join(b, F.expr(same), "full").selectExpr(
+        *(f"coalesce(a.{k}, b.{k}) AS {k}" for k in _KEY), *(f"{e} AS {name}" for name, e in both.items())
+    )
+
+
+def finished_parts(parts: DataFrame, source: SourceContract) -> DataFrame:
+    """What :func:`collapse` gives with ``gate`` for the rows behind these parts."""
+    names = compared_columns(source)
+    several = [
+        f"CASE WHEN high_{i} IS NULL THEN 0L WHEN low_{i} <=> high_{i} THEN 1L ELSE 2L END" for i in range(len(names))
+    ]
+    grouped = parts.selectExpr(
+        *_KEY,
+        *(f"high_{i} AS {quoted(c)}" for i, c in enumerate(names)),
+        "source_row_count",
+        f"{_largest(several)} AS distinct_value_max",
+        "source_file",
+        "latest_ingested_at",
+    )
+    return _cleaned(grouped, source)
+
+
 def collapse(bronze: DataFrame, source: SourceContract, distinct: str = EXACT) -> DataFrame:
     """One row per key: largest value of every column, units, lineage.
 
@@ -98,6 +172,11 @@ def collapse(bronze: DataFrame, source: SourceContract, distinct: str = EXACT) -
     every key that passes the rule "at most one", so it is what a fail-closed
     update needs.
     """
+    return _cleaned(_group(bronze, source, distinct), source)
+
+
+def _cleaned(grouped: DataFrame, source: SourceContract) -> DataFrame:
+    """Grouped rows with cleaned names and types, units and lineage."""
     value = {
         a.name: f"CAST({quoted(a.raw)} AS {a.cast})" if a.cast else quoted(a.raw)
         for a in source.attributes
@@ -105,7 +184,7 @@ def collapse(bronze: DataFrame, source: SourceContract, distinct: str = EXACT) -
     for d in source.derived:
         value[d.name] = UNITS[d.unit](*(value[c] for c in d.inputs))
     first, *rest = attribute_order(source)
-    return _group(bronze, source, distinct).selectExpr(
+    return grouped.selectExpr(
         "year",
         "month",
         f"{month_start('year', 'month')} AS observation_month",

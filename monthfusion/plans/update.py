@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from monthfusion.contracts import COUNTY_MONTH, FusionContract, SourceContract
-from monthfusion.operators.collapse import GATE, collapse, distinct_value_max
+from monthfusion.operators.collapse import distinct_value_max
 from monthfusion.operators.expectations import (
     ExpectationFailed,
     gold_expectations,
     silver_expectations,
 )
 from monthfusion.operators.fuse import fuse
+from monthfusion.plans.incremental import CollapseState
 from monthfusion.sources.published import PublishedTable
 from monthfusion.streaming.bronze import BronzeTable, Landing, run_ingest
 
@@ -34,6 +35,9 @@ class Update:
         landing = Landing.of(source, self.landing[name], files_per_batch=self.files_per_batch)
         return BronzeTable(self.spark, self.root, landing)
 
+    def state(self, name: str) -> CollapseState:
+        return CollapseState(self.spark, self.root, self.bronze(name), self.contract.source(name))
+
     def silver(self, name: str) -> PublishedTable:
         return PublishedTable(self.spark, self.root, f"silver_{name}")
 
@@ -42,7 +46,10 @@ class Update:
         return PublishedTable(self.spark, self.root, self.contract.gold_name)
 
     def run(self) -> DataFrame:
-        """Load new files, rebuild every table, return the fused one.
+        """Load new files, bring every table up to date, return the fused one.
+
+        Sources are collapsed from the batches that are new; the fused table is built
+        from collapsed sources.
 
         A source that breaks its rules keeps its earlier silver version and
         stops the fused table from being rebuilt; the other sources are still
@@ -65,7 +72,7 @@ class Update:
 
     def _refresh_silver(self, source: SourceContract) -> None:
         self.silver(source.name).publish(
-            collapse(self.bronze(source.name).read(), source, distinct=GATE),
+            self.state(source.name).collapsed(),
             silver_expectations(source),
             comment=f"Validated {source.name} observations, one row per county and month",
         )

@@ -1,16 +1,18 @@
 """CSV files read as text columns that are bound by header name.
 
 Spark binds the columns of several CSV files by position.  Files whose headers
-differ are therefore read in one scan per distinct header and united by name.
+differ are therefore read in one scan per distinct header and united by name.  Headers
+are looked up by tasks that read the first bytes of each file only.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from monthfusion.functions import quoted
+from monthfusion.sources.paths import literal_path, plain_uri
+from monthfusion.sources.quoted import SPLIT, QuotedBreaks
+from monthfusion.sources.shipping import ship_package
+from monthfusion.sources.store import blocks, reachable
 
 MALFORMED = "_malformed_record"
 FILE_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 SCAN_ERRORS = (PySparkException, Py4JJavaError)
 
 
-def literal_path(path: str) -> str:
-    """A path whose own brackets and stars are not taken for a pattern."""
-    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
-
-
 def header(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names of one file.
 
@@ -38,8 +39,43 @@ def header(spark: SparkSession, path: str) -> tuple[str, ...]:
     return tuple(spark.read.option("header", "true").csv(literal_path(path)).columns)
 
 
-def plain_uri(path: str) -> str:
-    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+#: Bytes of a file that are read at once to find its first line.
+HEAD = 1 << 12
+_HEADS = "path string, line string, n_bytes long"
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        paths, lines, sizes = batch.column("path").to_pylist(), [], []
+        for path in paths:
+            data, line, n = b"", None, 0
+            for block in blocks(path, size=HEAD):
+                n += len(block)
+                *whole, data = re.split(b"\r\n|\n|\r", data + block)
+                line = next((x for x in whole if x.strip(b" ")), None)
+                if line is not None:
+                    break
+            if line is None and data.strip(b" "):
+                line = data
+            lines.append(None if line is None else line.decode(errors="replace"))
+            sizes.append(n)
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(lines, pa.string()), pa.array(sizes, pa.int64())], names=["path", "line", "n_bytes"])
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, line, n_bytes): the first line of each file that is not blank, NULL without
+    any, and how many bytes were read for it."""
+    ship_package(spark)
+    tasks = min(len(paths), 4 * spark.sparkContext.defaultParallelism)
+    return spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(tasks, 1)).mapInArrow(_heads, _HEADS)
+
+
+def _first_lines_of_text(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The same for files that only Spark's readers can open: they read all lines."""
+    lines = spark.read.text([literal_path(p) for p in paths]).selectExpr(
+        "value", "_metadata.file_path AS path", "_metadata.file_block_start AS start", "monotonically_increasing_id() AS place"
+    )
+    return lines.where("start = 0 AND trim(value) != ''").groupBy("path").agg(F.min_by("value", "place").alias("line"))
 
 
 def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
@@ -48,15 +84,15 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list
     One job takes the first line of every file; column names are then looked up
     once for each distinct line.
     """
-    lines = spark.read.text([literal_path(p) for p in paths]).selectExpr(
-        "value", "_metadata.file_path AS path", "_metadata.file_block_start AS start", "monotonically_increasing_id() AS place"
-    )
-    first = lines.where("start = 0 AND trim(value) != ''").groupBy("path").agg(F.min_by("value", "place").alias("line"))
-    line = {plain_uri(unquote(r.path)): r.line for r in first.collect()}
+    if reachable(paths[0]):
+        line = {r.path: r.line for r in first_lines(spark, paths).collect()}
+    else:
+        found = {plain_uri(unquote(r.path)): r.line for r in _first_lines_of_text(spark, paths).collect()}
+        line = {p: found.get(plain_uri(p if ":" in p else f"file:{p}")) for p in paths}
     names: dict[str | None, tuple[str, ...]] = {None: ()}
     groups: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
-        found = line.get(plain_uri(path if ":" in path else f"file:{path}"))
+        found = line[path]
         if found not in names:
             names[found] = header(spark, path)
         groups.setdefault(names[found], []).append(path)
@@ -64,17 +100,18 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list
 
 
 def scan(
-    spark: SparkSession, names: tuple[str, ...], paths: list[str], strict: bool
+    spark: SparkSession, names: tuple[str, ...], paths: list[str], strict: bool, by_file: bool = False
 ) -> DataFrame:
     """Text columns of files that share a header, with malformed lines and lineage.
 
     A line with too few or too many cells is kept whole in the malformed column
-    too.  ``strict`` makes the scan fail on a file with another header.
+    too.  ``strict`` makes the scan fail on a file with another header.  ``by_file`` has
+    one task read a file, so that cells may hold line breaks.
     """
     fields = [StructField(n, StringType()) for n in (*names, MALFORMED)]
     reader = spark.read.schema(StructType(fields)).option("header", "true")
     reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
-    reader = reader.option("enforceSchema", str(not strict).lower())
+    reader = reader.option("enforceSchema", str(not strict).lower()).option("multiLine", str(by_file).lower())
     return reader.csv([literal_path(p) for p in paths]).selectExpr(
         *(quoted(n) for n in (*names, MALFORMED)),
         "_metadata.file_path AS source_file",
@@ -93,8 +130,18 @@ def unite(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def scan_groups(spark: SparkSession, groups: dict[tuple[str, ...], list[str]]) -> DataFrame:
-    return unite([scan(spark, names, paths, strict=False) for names, paths in groups.items()])
+def scan_groups(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], breaks: QuotedBreaks | None = None) -> DataFrame:
+    """All files, each group by its header; quoted cells may hold line breaks."""
+    breaks = breaks or QuotedBreaks(spark, [p for paths in groups.values() for p in paths])
+    frames = []
+    for names, paths in groups.items():
+        kinds: dict[str | None, list[str]] = {}
+        for p in paths:
+            kinds.setdefault(breaks.kind_of(p), []).append(p)
+        for kind, some in kinds.items():
+            split = kind == SPLIT
+            frames.append(breaks.records(names, some, MALFORMED) if split else scan(spark, names, some, strict=False, by_file=kind is not None))
+    return unite(frames)
 
 
 def file_paths(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:

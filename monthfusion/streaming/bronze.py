@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from monthfusion.contracts import SourceContract
 from monthfusion.functions import literal, quoted
@@ -31,7 +31,8 @@ from monthfusion.sources.csv_files import (
     scan,
     scan_groups,
 )
-from monthfusion.sources.paths import holds_data, path_exists, sql_text
+from monthfusion.sources.paths import holds_data, numbered_folders, path_exists, sql_text
+from monthfusion.sources.quoted import QuotedBreaks
 
 RESCUED = "_rescued_data"
 LINEAGE = (
@@ -125,6 +126,19 @@ class BronzeTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path).selectExpr(*_names(schema))
 
+    def batches(self) -> list[int]:
+        """Numbers of the batches that were written."""
+        return numbered_folders(self.spark, self.path, "batch_id")
+
+    def rows_after(self, batch_id: int) -> DataFrame:
+        """The rows of later batches; files of others are not opened."""
+        schema = self.schema()
+        if not holds_data(self.spark, self.path):
+            return self.spark.createDataFrame([], schema)
+        with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
+        rows = self.spark.read.schema(with_batch).parquet(self.path)
+        return rows.where(f"batch_id > {batch_id}").selectExpr(*_names(schema))
+
     @property
     def comment(self) -> str:
         return f"Raw {self.landing.name} observations as delivered, with rescued data and lineage"
@@ -150,13 +164,14 @@ class BronzeTable:
 
         Files mostly share one header of known columns.  Such a batch is read
         with the header of its first file, and Spark checks the others as it
-        opens them.  Only if that fails, or a column is new, is the header of
-        every file looked up.
+        opens them.  Only if that fails, or a column is new, or quoted cells hold line
+        breaks, is the header of every file looked up.
         """
         known = self.tracked()
+        breaks = QuotedBreaks(self.spark, paths)
         first = header(self.spark, paths[0])
         groups = None
-        if first and all(same_name(known, n) for n in first):
+        if first and not breaks.kind and all(same_name(known, n) for n in first):
             try:
                 text = scan(self.spark, first, paths, strict=True)
                 return self._write(text, known, batch_id)
@@ -167,9 +182,9 @@ class BronzeTable:
         groups = groups or headers(self.spark, paths)
         groups.pop((), None)  # a file without a header has no rows
         if groups:
-            new = self._new_columns(self._lying(groups, known, paths), known)
+            new = self._new_columns(self._lying(groups, known, paths), known, multi_line=bool(breaks.kind))
             self._track(known, new)
-            self._write(scan_groups(self.spark, groups), {**known, **new}, batch_id)
+            self._write(scan_groups(self.spark, groups, breaks), {**known, **new}, batch_id)
 
     def _lying(
         self, groups: dict[tuple[str, ...], list[str]], known: dict[str, str], paths: list[str]
@@ -188,7 +203,7 @@ class BronzeTable:
         return found
 
     def _new_columns(
-        self, groups: dict[tuple[str, ...], list[str]], known: dict[str, str]
+        self, groups: dict[tuple[str, ...], list[str]], known: dict[str, str], multi_line: bool = False
     ) -> dict[str, str]:
         """Columns to add, typed by contract or by Spark's own inference."""
         pinned = {} if known else dict(self.landing.pinned)
@@ -200,7 +215,7 @@ class BronzeTable:
             unknown = {n for n in names if not same_name((*known, *pinned), n)}
             if not unknown:
                 continue
-            reader = self.spark.read.option("header", "true").option("inferSchema", "true")
+            reader = self.spark.read.option("header", "true").option("inferSchema", "true").option("multiLine", str(multi_line).lower())
             found = reader.csv([literal_path(p) for p in paths]).schema
             for name, field_ in zip(names, found.fields):
                 if name in unknown:
