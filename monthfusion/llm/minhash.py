@@ -11,13 +11,14 @@ Then, exactly:
 
 * equal sets (by a 128-bit sum and their size) are one node from the start, so
   groups of copies cost one row each;
-* each candidate pair is compared on the full sets of both texts;
-* where a bucket still holds nodes of different components, its other members are
-  compared too: pair by pair across components if these pairs are few in all, else
-  with the next centre, until no bucket is left.  No bucket is cut or skipped.  Before
-  texts are fetched, pairs go that cannot be links by two exact bounds: of the sizes,
-  and of the sets' bitmaps, in which each shingle flips one of ``BITS`` bits: two bitmaps
-  differ in no more bits than the sets differ in shingles;
+* each candidate pair is compared on the full sets of both texts.  Before these are
+  fetched, pairs go that cannot be links by two exact bounds: of the sizes, and of the
+  sets' bitmaps, in which each shingle flips one of ``BITS`` bits: two bitmaps differ in
+  no more bits than the sets differ in shingles;
+* where a bucket still holds nodes of different components, ``STARS`` more rounds take a
+  centre of another component in it, and compare it with the members of all others.
+  What then is apart is compared pair by pair across components, if the bounds allow a
+  link.  The steps are the same at every size, and no bucket is cut or skipped;
 * components are joined by the large-star, small-star method, each step written to
   the shared folder.
 
@@ -47,11 +48,12 @@ from monthfusion.sources.shipping import ship_package
 
 BANDS, ROWS = 64, 6
 BINS = BANDS * ROWS
-#: Pairs across components, per node of the corpus, that are compared one by one
-#: before the next centres are tried.
-PAIRS_PER_NODE = 128
-#: Bits of a bitmap, as longs of 64.
+#: Rounds of stars with other centres before all that is still apart is compared.
+STARS = 3
+#: Bits of a bitmap, in longs of 64.
 BITS = 1024
+#: Different ends of text hashes.
+ENDS = 1 << 20
 #: Rows of pairs and labels that a task takes, and the least number of tasks.
 ROWS_PER_TASK, LEAST_TASKS = 20_000, 8
 #: A link needs PERCENT * union <= 100 * intersection.
@@ -102,25 +104,35 @@ SKETCH = pa.schema(
         ("set_a", pa.int64()),
         ("set_b", pa.int64()),
         ("bands", pa.list_(pa.int64())),
+        ("map", pa.list_(pa.int64())),
     ]
 )
-SKETCH_DDL = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>"
+SKETCH_DDL = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, bands array<long>, map array<long>"
+
+
+def lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+
+
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, sums, bands = [], ([], []), []
+        n, sums, bands, maps, none = [], ([], []), [], [], np.zeros(0, np.int64)
         for hashes in shingle_sets(batch.column("text")):
             n.append(len(hashes))
             with np.errstate(over="ignore"):
                 sums[0].append(int(mix(hashes).sum(dtype=np.uint64).astype(np.int64)))
                 sums[1].append(int(mix(hashes ^ _BAND_SALTS[0]).sum(dtype=np.uint64).astype(np.int64)))
-            bands.append(band_keys(signature(hashes)) if len(hashes) else np.zeros(0, np.int64))
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.concatenate(([0], np.cumsum([len(b) for b in bands]))).astype(np.int32)), pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64))
-        )
+            bands.append(band_keys(signature(hashes)) if len(hashes) else none)
+            maps.append(bitmap(hashes) if len(hashes) else none)
         ids = batch.column("doc_id").cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([ids, batch.column("text_hash"), pa.array(n, pa.int64()), *(pa.array(s, pa.int64()) for s in sums), lists], schema=SKETCH)
+        columns = [ids, batch.column("text_hash"), pa.array(n, pa.int64()), *(pa.array(s, pa.int64()) for s in sums), lists(bands), lists(maps)]
+        yield pa.RecordBatch.from_arrays(columns, schema=SKETCH)
     give_back()
 
 
@@ -148,26 +160,12 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
-MAPS = [f"p{k}" for k in range(BITS // 64)]
-BITMAP_DDL = ", ".join(f"{c} long" for c in ["node", "n", *MAPS])
 #: At most so many shingles are in one of two linked sets only, so not more bits differ.
-NOT_TOO_FAR = f"{100 + PERCENT} * ({' + '.join(f'bit_count({c} ^ b_{c})' for c in MAPS)}) <= {100 - PERCENT} * (n + b_n)"
-
-
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    odd = np.bincount((hashes & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
-
-
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, maps = [], [np.zeros((0, len(MAPS)), np.int64)]
-        for hashes in shingle_sets(batch.column("text")):
-            n.append(len(hashes))
-            maps.append(bitmap(hashes)[None])
-        columns = np.ascontiguousarray(np.concatenate(maps).T)
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n, pa.int64()), *(pa.array(c) for c in columns)], names=["node", "n", *MAPS])
-    give_back()
+DIFFERENT = " + ".join(f"bit_count(a_map[{k}] ^ b_map[{k}])" for k in range(BITS // 64))
+MAY_LINK = (
+    f"100 * least(a_n, b_n) >= {PERCENT} * greatest(a_n, b_n)"
+    f" AND {100 + PERCENT} * ({DIFFERENT}) <= {100 - PERCENT} * (a_n + b_n)"
+)
 
 
 STAR_DDL = "key long, node long, center long"
@@ -228,7 +226,8 @@ class NearDuplicates:
     def nodes(self, sketches: DataFrame) -> DataFrame:
         """One row for each distinct set, with the text that stands for it."""
         sets = sketches.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles")
-        one = sets.agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.any_value("bands").alias("bands"))
+        same = [F.any_value(c).alias(c) for c in ("bands", "map")]
+        one = sets.agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "text_hash")).alias("rep"), *same)
         return self.save(one.withColumn("node", F.monotonically_increasing_id()))
 
     def buckets(self, nodes: DataFrame) -> DataFrame:
@@ -245,18 +244,35 @@ class NearDuplicates:
         first = parts.groupBy("key").agg(F.min("node").alias("center"))
         return stars.where("center IS NOT NULL").unionByName(parts.join(first, "key").where("node != center"))
 
-    def texts(self, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
-        """(node, text) for the nodes of all buckets."""
-        wanted = buckets.select(F.explode(F.array("node", "center")).alias("node")).distinct()
-        reps = nodes.join(wanted, "node").select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))
-        reps, docs = self.save(reps), self.documents
-        same = docs["doc_id"].eqNullSafe(reps["rep_id"]) & (docs["text_hash"] == reps["rep_hash"])
+    def bounded(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b), once each, that two exact bounds leave: of the sizes, and of
+        the bitmaps.  ``a`` may be a centre of very many pairs, so it is joined last."""
+        told = nodes.select("node", "n_shingles", "map")
+        for side in ("b", "a"):
+            named = told.select(F.col("node").alias(side), F.col("n_shingles").alias(f"{side}_n"), F.col("map").alias(f"{side}_map"))
+            pairs = self.few(pairs.join(named, side))
+        return self.save(self.few(pairs.where(MAY_LINK).select("a", "b").distinct()))
+
+    def texts(self, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+        """(node, text) for the nodes of some pairs.
+
+        Only documents whose text hash ends as that of a wanted one are moved.  The ends
+        are at most ENDS numbers, however many nodes are wanted, so they can be sent to all
+        tasks; the documents left are joined by moving them, at every size.
+        """
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        reps = self.save(self.few(nodes.join(wanted, "node").select("node", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_hash").alias("rep_hash"))))
+        ends = reps.select((F.col("rep_hash").bitwiseAND(ENDS - 1)).cast("int").alias("end")).distinct()
+        near = self.documents.join(F.broadcast(ends), F.col("text_hash").bitwiseAND(ENDS - 1).cast("int") == F.col("end"), "left_semi")
+        same = near["doc_id"].eqNullSafe(reps["rep_id"]) & (near["text_hash"] == reps["rep_hash"])
         # Repeated rows are combined only now: most documents share no bucket.
-        return self.save(docs.join(reps, same).groupBy("node").agg(F.any_value("text").alias("text")))
+        return self.save(near.join(reps.hint("merge"), same).groupBy("node").agg(F.any_value("text").alias("text")))
 
-    def verify(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def verify(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links.  ``a`` may be a centre of very many pairs:
         its text is joined last, so that Spark can split the key, and hashed once per run."""
+        pairs = self.bounded(pairs, nodes)
+        texts = self.texts(nodes, pairs)
         b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         return self.save(self.few(self.few(pairs.join(b, "b")).join(a, "a")).select("a", "b", "text_a", "text_b").mapInArrow(_verify, PAIR_DDL))
@@ -291,48 +307,45 @@ class NearDuplicates:
 
     def search(self, nodes: DataFrame) -> DataFrame:
         """(node, label) by all links found."""
-        n_nodes = nodes.count()
         rows = self.buckets(nodes)
         self.parts = max(LEAST_TASKS, rows.count() // ROWS_PER_TASK)
-        texts = self.texts(nodes, rows)
         pairs = rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-        links = self.verify(pairs, texts)
-        while True:
-            labels = self.components(links)
-            # Pairs of a centre and a member that are still apart name the buckets to go on with.
-            known = self.labelled(self.labelled(pairs, labels, "a"), labels, "b")
-            apart = self.save(self.few(known.where("a_label != b_label").select("a", "b")))
+        labels = self.components(self.verify(pairs, nodes))
+        # Buckets whose star left members apart: only they are looked at again.
+        known = self.labelled(self.labelled(rows.select("key", F.col("center").alias("a"), F.col("node").alias("b")), labels, "a"), labels, "b")
+        keys = known.where("a_label != b_label").select("key").distinct()
+        left = rows.join(keys, "key")
+        members = self.save(left.select("key", "node").unionByName(left.select("key", F.col("center").alias("node"))).distinct())
+        for _ in range(STARS):
+            apart = self.apart(members, labels)
             if apart.isEmpty():
                 return labels
-            keys = rows.join(apart, (rows["center"] == apart["a"]) & (rows["node"] == apart["b"])).select("key").distinct()
-            left = rows.join(keys, "key")
-            members = left.select("key", "node").unionByName(left.select("key", F.col("center").alias("node"))).distinct()
-            rest = self.save(self.few(self.labelled(members, labels, "node")))
-            parts = rest.groupBy("key", "node_label").agg(F.count(F.lit(1)).alias("n"))
-            within = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.expr("(sum(n) * sum(n) - sum(n * n)) / 2").alias("pairs"))
-            within = self.save(self.few(within.where("parts > 1")))
-            total = within.agg(F.sum("pairs")).first()[0]
-            if not total:
-                return labels
-            rest = rest.join(within.select("key"), "key")
-            if total <= PAIRS_PER_NODE * n_nodes:
-                own = rest.join(self.save(texts.mapInArrow(_bitmaps, BITMAP_DDL)), "node")
-                other = own.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "node_label", "n", *MAPS)))
-                apart_still = "node < b_node AND node_label != b_node_label"
-                alike = f"100 * least(n, b_n) >= {PERCENT} * greatest(n, b_n) AND {NOT_TOO_FAR}"
-                met = own.join(other, (own["key"] == other["key"]) & F.expr(f"{apart_still} AND {alike}"))
-                met = self.few(met.select(F.col("node").alias("a"), F.col("b_node").alias("b"))).distinct()
-                untried = self.few(met.join(apart, ["a", "b"], "left_anti"))
-                return self.components(self.contracted(labels, self.verify(untried, texts)))
-            # The next star of every bucket has the least node that was no centre yet.  A
-            # bucket of several parts has several centres, none of which met all members.
-            used = left.groupBy("key").agg(F.min("center").alias("node"), F.max("center").alias("last")).where("node = last").select("key", "node")
-            rest = rest.join(used, ["key", "node"], "left_anti").select("key", "node")
-            centers = rest.groupBy("key").agg(F.min("node").alias("center"))
-            rows = self.save(rest.join(centers, "key").where("node != center"))
-            pairs = rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-            again = self.labelled(self.labelled(pairs, labels, "a"), labels, "b")
-            links = self.contracted(labels, self.verify(again.where("a_label != b_label").select("a", "b"), texts))
+            # The next centres: the least node of every component but that of the first one,
+            # so each component in a bucket is compared with one more of its members.
+            first = apart.groupBy("key").agg(F.min("node_label").alias("first"))
+            centers = apart.join(first, "key").where("node_label != first").groupBy("key").agg(F.min("node").alias("center"))
+            pairs = apart.join(centers, "key").where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b"), "node_label")
+            pairs = self.labelled(pairs, labels, "a").where("a_label != node_label").select("a", "b").distinct()
+            labels = self.components(self.contracted(labels, self.verify(pairs, nodes)))
+        apart = self.apart(members, labels)
+        if apart.isEmpty():
+            return labels
+        return self.components(self.contracted(labels, self.verify(self.crossing(apart, nodes), nodes)))
+
+    def apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """(key, node, node_label) of the buckets that hold several components."""
+        known = self.save(self.few(self.labelled(members, labels, "node")))
+        several = known.groupBy("key").agg(F.min("node_label").alias("least"), F.max("node_label").alias("most")).where("least != most")
+        return self.save(self.few(known.join(several.select("key"), "key")))
+
+    def crossing(self, apart: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Pairs (a, b) across components that share a bucket and that the bounds leave."""
+        told = nodes.select("node", F.col("n_shingles").alias("n"), "map")
+        rows = apart.join(told, "node")
+        one, two = (rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "node_label", "n", "map"))) for side in "ab")
+        across = f"a_node < b_node AND a_node_label != b_node_label AND {MAY_LINK}"
+        met = one.withColumnRenamed("key", "a_key").join(two, F.expr(f"a_key = key AND {across}"))
+        return self.few(met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))).distinct()
 
     def classes(self) -> DataFrame:
         """Per document: doc_id, text_hash, n_shingles, component_id, n_equal (rows with

@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from monthfusion.llm import minhash as m
@@ -98,9 +99,16 @@ def test_chains_and_crowded_buckets(spark):
     assert spark_result(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
-def test_next_centres_find_what_pairs_would(spark, monkeypatch):
-    monkeypatch.setattr(m, "PAIRS_PER_NODE", 0)
-    rows = list(enumerate(chain(24, 60, 4)))
+@pytest.mark.parametrize("stars", [0, 1, 5])
+def test_any_number_of_star_rounds_finds_the_same(spark, monkeypatch, stars):
+    monkeypatch.setattr(m, "STARS", stars)
+    rows = list(enumerate(chain(24, 60, 4) + chain(20, 40, 7)))
+    assert spark_result(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_texts_are_fetched_whatever_the_ends_of_their_hashes(spark, monkeypatch):
+    monkeypatch.setattr(m, "ENDS", 2)
+    rows = list(enumerate(chain(12, 60, 4)))
     assert spark_result(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
@@ -118,8 +126,9 @@ def test_one_common_bucket_is_enough_across_components(spark):
     assert in_buckets(spark, texts, [[7, 1], [7, 2], [7, 3]]) == [(2, 1)]
 
 
-def test_next_centres_of_a_bucket_in_several_parts(spark, monkeypatch):
-    monkeypatch.setattr(m, "PAIRS_PER_NODE", 0)
+@pytest.mark.parametrize("stars", [0, 3])
+def test_a_bucket_in_several_parts(spark, monkeypatch, stars):
+    monkeypatch.setattr(m, "STARS", stars)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
