@@ -17,8 +17,8 @@ DECIMAL = (
 NOT_FINITE = "^[+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])$"
 
 
-# Text of these characters alone is read alike by Spark and the patterns above.
-_PLAIN = "-+0123456789.eE"
+# Text without any of these characters is read alike by Spark and the patterns above.
+_UNUSUAL = "[^-+0-9.eE]"
 
 
 def is_blank(text: str) -> str:
@@ -26,27 +26,30 @@ def is_blank(text: str) -> str:
     return f"coalesce({strip(text)} = '', true)"
 
 
-def _finite(value: str) -> str:
-    return f"CASE WHEN abs({value}) = double('Infinity') THEN double('NaN') ELSE {value} END"
-
+def spelled(text: str) -> str:
+    """Text as double: NULL when it is no number, NaN when it says so, else finite or not.
 
-def number(text: str) -> str:
-    """Text as double: NULL when it is no number, NaN when it is not finite.
-
-    Nearly all values are plain and take a short way: a look at their characters
-    and a cast.  White space, underscores and names of non-finite values take the long
-    one.
+    Nearly all values are plain: one look at their characters and the cast.  There is one
+    cast for all spellings, as code for many columns is too long to be compiled otherwise.
     """
-    plain = f"try_cast({text} AS DOUBLE)"
     t = strip(text)
-    spelled = f"try_cast(replace({t}, '_', '') AS DOUBLE)"
     return (
-        f"CASE WHEN translate({text}, '{_PLAIN}', '') = '' THEN {_finite(plain)}"
-        f" WHEN {t} RLIKE '{DECIMAL}' THEN {_finite(spelled)}"
-        f" WHEN {t} RLIKE '{NOT_FINITE}' THEN double('NaN') END"
+        f"try_cast(CASE WHEN NOT {text} RLIKE '{_UNUSUAL}' THEN {text}"
+        f" WHEN {t} RLIKE '{DECIMAL}' THEN replace({t}, '_', '')"
+        f" WHEN {t} RLIKE '{NOT_FINITE}' THEN 'NaN' END AS DOUBLE)"
     )
 
 
+def finite(value: str) -> str:
+    """NaN in place of a double that is not finite."""
+    return f"CASE WHEN abs({value}) = double('Infinity') THEN double('NaN') ELSE {value} END"
+
+
+def number(text: str) -> str:
+    """Text as double: NULL when it is no number, NaN when it is not finite."""
+    return finite(spelled(text))
+
+
 def whole(value: str) -> str:
     """Double cut to its whole part; NULL when it does not fit an int."""
     return f"CASE WHEN NOT isnan({value}) THEN try_cast({value} AS INT) END"

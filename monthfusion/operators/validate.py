@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from monthfusion.contracts import FusionContract, SourceContract
 from monthfusion.functions import literal, quoted
 from monthfusion.functions.keys import county_fold
-from monthfusion.functions.numbers import is_blank, number, whole
+from monthfusion.functions.numbers import finite, is_blank, spelled, whole
 from monthfusion.sources.csv_files import file_paths, headers, scan_groups
 
 EMPTY = "empty_required"
@@ -78,14 +78,18 @@ def _numeric(source: SourceContract) -> list[str]:
 def parsed(df: DataFrame, source: SourceContract) -> DataFrame:
     """The rows with the key's county and every checked number (``v_``) read.
 
-    A step of its own, so that each text is read once however many rules look
-    at its number.
+    Steps of their own, so that each text is read once however many rules look
+    at its number.  Code for so many columns in one method of a generated stage would be
+    too long for the JVM to compile.  A function of an array has no generated code, so
+    Spark evaluates this step by itself and in several methods; the county's is one.
     """
-    return df.selectExpr(
+    read = df.selectExpr(
         "*",
-        *(f"{number(_text(df, c))} AS {quoted('v_' + c)}" for c in _numeric(source)),
-        f"{county_fold(_text(df, 'County'))} AS county_key",
+        *(f"{spelled(_text(df, c))} AS {quoted('v_' + c)}" for c in _numeric(source)),
+        f"transform(array({_text(df, 'County')}), c -> {county_fold('c')})[0] AS county_key",
     )
+    values = {f"v_{c}" for c in _numeric(source)}
+    return read.selectExpr(*(f"{finite(quoted(c))} AS {quoted(c)}" if c in values else quoted(c) for c in read.columns))
 
 
 def rules(df: DataFrame, source: SourceContract) -> list[Rule]:
@@ -266,21 +270,21 @@ def _report(read: DataFrame, source: SourceContract, path: str | None) -> DataFr
 def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None) -> DataFrame:
     """The report of a source, or :class:`ValidationFailed`.
 
-    The rules are counted by the scan that builds the report.
+    The scan that builds the report counts the rows that break any rule; only if there
+    are such rows, which rules they break is counted.
     """
     require_columns(df.columns, source)
-    checked = rules(df, source)
     seen = Observation()
-    counts = [F.expr(f"count_if({r.broken}) AS r{i}") for i, r in enumerate(checked)]
-    done = _report(parsed(df, source).observe(seen, *counts), source, path)
+    read = parsed(df, source)
+    broken = " OR ".join(r.broken for r in rules(df, source))
+    done = _report(read.withColumn("broken", F.expr(broken)).observe(seen, F.expr("count_if(broken) AS broken")), source, path)
     row = done.first()
 
     if not row.raw_rows:
         raise ValidationFailed(source.name, "no data rows")
-    found = seen.get
-    broken = [(r, found[f"r{i}"]) for i, r in enumerate(checked) if found[f"r{i}"]]
-    if broken:
-        listed = "; ".join(f"{n} rows {r.name} in {r.column!r}" for r, n in broken)
+    if seen.get["broken"]:
+        counted = violation_counts(df, source).collect()  # a row for each rule and column
+        listed = "; ".join(f"{r['rows']} rows {r.rule} in {r.column!r}" for r in counted)
         wrong = violations(df, source).limit(EXAMPLES).collect()
         shown = ", ".join(
             f"{w.county} {w.year}-{w.month} {w.column}={w.value!r}" for w in wrong
