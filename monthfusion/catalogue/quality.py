@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 
 from monthfusion.catalogue import sql
 from monthfusion.catalogue.fusion import fused, fused_disturbed
-from monthfusion.contracts import TableExpectation, fused_columns
+from monthfusion.contracts import TableExpectation, column_comments, fused_columns
 from monthfusion.operators import validate
-from monthfusion.operators.checks import column_presence, contract_checks, described_columns
+from monthfusion.operators.checks import check_described, column_presence, contract_checks
 from monthfusion.operators.collapse import GATE, collapse
 from monthfusion.operators.expectations import (
     ExpectationFailed,
@@ -203,7 +204,17 @@ def validate_headers(spark, sf_dir):
 
 
 def described_columns_of_gold(spark, sf_dir):
-    return described_columns(fused(spark, sf_dir).select("year", "county", "bird_count", "observation_month", "county_fips", "latitude", "bird_reported"))
+    """The fused table published, registered, and described by the catalog."""
+    gold = PublishedTable(spark, scratch_dir(spark, "described"), CONTRACT.gold_name)
+    gold.publish(fused(spark, sf_dir), gold_expectations(CONTRACT), comment="described")
+    view = f"described_{uuid.uuid4().hex}"
+    gold.register(view, column_comments(CONTRACT))
+    found = check_described(spark, view, EXPECTED)
+    # The result is kept, so that the view need not stay.
+    folder = scratch_dir(spark, "description")
+    found.write.parquet(folder)
+    spark.sql(f"DROP VIEW {view}")
+    return spark.read.schema(found.schema).parquet(folder)
 
 
 def contract_check(*names: str, disturbed: bool = False):
@@ -336,6 +347,21 @@ def _report_sql(slot: str) -> str:
         FROM (SELECT y, m, n, count(*) AS c, {lacking} AS l FROM ({sql.FACTS[slot]}) GROUP BY ALL)"""
 
 
+def _type_of(column: str) -> str:
+    """Type of a column of the fused table, by its name."""
+    if column.endswith(("_reported", "_consistent")):
+        return "boolean"
+    types = {"year": "int", "month": "int", "county": "string", "county_fips": "int", "observation_month": "date", "latest_ingested_at": "timestamp"}
+    types |= {"reported_activity_types": "int", CONTRACT.total_column: "bigint"}
+    types |= {f"{s}_count": "bigint" for s in sql.SLOTS} | {f"{s}_source_file": "string" for s in sql.SLOTS}
+    return types.get(column, "double")
+
+
+def _comment_of(column: str) -> str:
+    comment = column_comments(CONTRACT).get(column)
+    return "CAST(NULL AS VARCHAR)" if comment is None else f"'{comment}'"
+
+
 _ABSENT = [c for c in EXPECTED.columns if c == "snowfall_1m_shift"]
 
 ORACLES = {
@@ -398,9 +424,12 @@ ORACLES = {
     "validate_headers": f"""
         SELECT 'bird' AS source, count(*) AS raw_rows, 'bird: missing required columns: Date' AS refused
         FROM {_ORDERS}""",
-    "described_columns": """
-        SELECT unnest(['year', 'county', 'bird_count', 'observation_month', 'county_fips', 'latitude', 'bird_reported']) AS "column",
-               unnest(['int', 'string', 'bigint', 'date', 'int', 'double', 'boolean']) AS type""",
+    "described_columns": f"{sql.gold()} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{_type_of(c)}' AS type,"
+        f" {_comment_of(c)} AS comment, count({c}) AS filled FROM gold"
+        for c in EXPECTED.columns
+    ),
     "contract_row_count": _check_sql({"row_count": "count(*)"}, False, sql.gold()),
     "contract_unique_keys": f"""{sql.gold()}
         SELECT 'unique_keys' AS "check", count(*) AS observed, count(*) = 0 AS passed FROM (

@@ -173,6 +173,7 @@ AGREEMENTS = (
     ),
 )
 
+# Columns that files must have, and those that must hold numbers.
 FILE_COLUMNS = (
     "Year",
     "Month",
@@ -253,6 +254,20 @@ def fused_columns(contract: FusionContract) -> tuple[str, ...]:
     )
 
 
+def column_comments(contract: FusionContract) -> dict[str, str]:
+    """What the columns of the fused table hold, for those that a contract says it of."""
+    said = {a.name: f"{a.raw} of the first source in the order of trust that has it" for a in contract.attributes}
+    for d in contract.derived:
+        said[d.name] = f"{d.unit} of {' and '.join(d.inputs)}"
+    for s in contract.sources:
+        said[s.count_column] = f"{s.outcome} as reported; NULL where {s.name} has no report"
+        said[f"{s.name}_reported"] = f"whether {s.name} has a report, zero included"
+        said[f"{s.name}_source_file"] = f"last file with the report of {s.name}"
+    for a in contract.agreements:
+        said[a.name] = f"whether sources agree on {' and '.join(a.columns)}"
+    return said
+
+
 def attribute_order(source: SourceContract | FusionContract) -> tuple[str, ...]:
     """Cleaned attributes with every derived unit right after its last input."""
     after = {d.inputs[-1]: d.name for d in source.derived}

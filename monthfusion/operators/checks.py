@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthfusion.contracts import TableExpectation
@@ -24,10 +24,20 @@ def column_presence(df: DataFrame, expected: TableExpectation) -> DataFrame:
     return filled.selectExpr(f"inline(array({rows}))")
 
 
-def described_columns(df: DataFrame) -> DataFrame:
-    """Rows (column, type) of a table."""
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column string, type string")
+def described_columns(spark: SparkSession, table: str) -> DataFrame:
+    """Rows (column, type, comment) of a registered table, as the catalog describes it."""
+    described = spark.sql(f"DESCRIBE TABLE {table}")
+    # Notes on partitions follow the columns, under names that begin with '#'.
+    columns = described.where("col_name != '' AND NOT startswith(col_name, '#')")
+    return columns.selectExpr("col_name AS column", "data_type AS type", "comment")
+
+
+def check_described(spark: SparkSession, table: str, expected: TableExpectation) -> DataFrame:
+    """Rows (column, type, comment, filled) for every column that a registered table must
+    have; an absent one has neither type nor comment, and no value in any row."""
+    described = described_columns(spark, table)
+    found = column_presence(spark.table(table), expected)
+    return found.join(described, "column", "left").select("column", "type", "comment", "filled")
 
 
 def _row(name: str, observed: str, expected: int | None) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthfusion.contracts import KEY
+from monthfusion.functions import quoted
 from monthfusion.operators.expectations import (
     Expectation,
     ExpectationFailed,
@@ -78,12 +79,14 @@ class PublishedTable:
         log.coalesce(1).write.mode("append").json(self._log_path)
         return version
 
-    def register(self, view: str) -> None:
-        """Show the current version, with its comment, in the session catalog."""
+    def register(self, view: str, column_comments: dict[str, str] | None = None) -> None:
+        """Show the current version in the session catalog, with its comment and columns'."""
         target = ".".join(f"`{part}`" for part in view.split("."))
         path = self._version_path(self.current_version())
+        told = column_comments or {}
+        columns = ", ".join(quoted(c) + (f" COMMENT {sql_text(told[c])}" if c in told else "") for c in self.read().columns)
         comment = sql_text(self.comment() or "")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {target} COMMENT {comment} AS SELECT * FROM parquet.`{path}`")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {target} ({columns}) COMMENT {comment} AS SELECT * FROM parquet.`{path}`")
 
 
 def _examples(data: DataFrame, rule: Expectation) -> list[str]:

@@ -3,9 +3,10 @@
 from dataclasses import replace
 
 from builders import silver_rows
-from monthfusion.contracts import COUNTY_MONTH, COUNTY_MONTH_TABLE
-from monthfusion.operators.checks import column_presence, contract_checks, described_columns
+from monthfusion.contracts import COUNTY_MONTH, COUNTY_MONTH_TABLE, column_comments
+from monthfusion.operators.checks import check_described, column_presence, contract_checks, described_columns
 from monthfusion.operators.fuse import fuse
+from monthfusion.sources.published import PublishedTable
 
 EXPECTED = replace(COUNTY_MONTH_TABLE, row_count=2, first_year=2002, last_year=2003, county_count=1)
 
@@ -60,5 +61,18 @@ def test_columns(spark):
     present = {r.column: (r.present, r.filled) for r in column_presence(gold(spark, {}).drop("latitude"), EXPECTED).collect()}
     assert present["latitude"] == (False, 0)
     assert present["bird_count"] == (True, 1) and present["horse_count"] == (True, 0)
-    types = {r.column: r.type for r in described_columns(gold(spark)).collect()}
-    assert types["bird_count"] == "bigint" and types["observation_month"] == "date"
+
+
+def test_registered_tables_are_described(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path), "gold")
+    table.publish(gold(spark, {}).drop("latitude"), comment="told")
+    table.register("told_gold", column_comments(COUNTY_MONTH))
+    found = {r.column: (r.type, r.comment) for r in described_columns(spark, "told_gold").collect()}
+    assert list(found) == [c for c in COUNTY_MONTH_TABLE.columns if c != "latitude"]
+    assert found["bird_count"] == ("bigint", "Bird as reported; NULL where bird has no report")
+    assert found["observation_month"] == ("date", None)
+    rows = {r.column: (r.type, r.filled) for r in check_described(spark, "told_gold", COUNTY_MONTH_TABLE).collect()}
+    assert len(rows) == 35 and rows["latitude"] == (None, 0) and rows["bird_count"] == ("bigint", 1)
+    told = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED told_gold").collect()}
+    assert told["Comment"] == "told"
+    spark.sql("DROP VIEW told_gold")
