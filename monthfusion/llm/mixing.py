@@ -24,7 +24,9 @@ rows are dealt to tasks.
 Defined cases: NULL and empty texts have size 0 and are taken 0 times.  A NULL source
 is a source, ordered last.  Repeated rows have equal ranks and are taken together.
 Tied ranks otherwise are settled by id and text.  An empty table gives an empty
-result.  Columns of other names are kept; names that begin with ``mix_`` are used here.
+result.  A very long text is a document of its size class like others.  ``mixture`` keeps
+all columns as they are, whatever their names; ``with_copies`` puts its figures in place of columns
+that have their names (``mix_...``).
 """
 
 from __future__ import annotations
@@ -120,7 +122,7 @@ def mix(
 
     ranked = decided(rows, classes)
     sure = ranked.groupBy("mix_source").agg(F.sum(F.col("mix_sure") * F.col("mix_size")).alias("mix_certain"))
-    goal = join_source(targets, sure).withColumn("mix_goal", F.col("mix_target") - F.col("mix_certain"))
+    goal = save(join_source(targets, sure).withColumn("mix_goal", F.col("mix_target") - F.col("mix_certain")), "goal")
     bins = ranked.where("mix_rank IS NOT NULL").groupBy("mix_source", "mix_bin").agg(F.sum("mix_size").alias("mix_words"))
     bins = bins.withColumn("mix_to", F.sum("mix_words").over(Window.partitionBy("mix_source").orderBy("mix_bin")))
     crossing = join_source(bins, goal.select("mix_source", "mix_goal")).where("mix_to > mix_goal AND mix_to - mix_words <= mix_goal")
@@ -138,6 +140,7 @@ def mix(
     taken = join_source(ranked, cuts.select("mix_source", "mix_cut", "mix_last")).withColumn("mix_taken", F.col("mix_sure") + picked().cast("long"))
     reached = taken.groupBy("mix_source").agg(F.sum(F.col("mix_taken") * F.col("mix_size")).alias("mix_reached"))
     gaps = join_source(cuts.select("mix_source", "mix_target"), reached).select("mix_source", (F.col("mix_target") - F.col("mix_reached")).alias("mix_gap"))
+    gaps = save(gaps, "gaps")  # as a table its size is known, so documents are not dealt by source
     spare = taken.where(f"mix_taken < {MOST} AND mix_size > 0 AND mix_copies > 0").groupBy("mix_source", "doc_id", "mix_hash", "mix_unit").agg(F.sum("mix_size").alias("mix_more"))
     nearer = join_source(spare, gaps).where("abs(mix_gap - mix_more) < abs(mix_gap)")
     best = nearer.groupBy("mix_source").agg(F.min(F.struct(F.expr("abs(mix_gap - mix_more)"), "mix_unit", "doc_id", "mix_hash")).alias("mix_best"))
@@ -156,5 +159,9 @@ def with_copies(documents: DataFrame, decisions: tuple[DataFrame, DataFrame]) ->
 
 def mixture(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """The rows of ``documents``, each as often as the mix takes it, columns unchanged."""
-    rows = with_copies(documents, mix(spark, documents)).where("mix_taken > 0")
-    return rows.withColumn("mix_copy", F.expr("explode(sequence(1, cast(mix_taken AS int)))")).select(*[F.col(f"`{c}`") for c in documents.columns])
+    # Apart from the columns that decide, a row is one value, whatever its names.
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("mix_row")
+    whole = documents.select("doc_id", "text", "source", row)
+    rows = with_copies(whole, mix(spark, whole)).where("mix_taken > 0")
+    repeated = rows.select("mix_row", F.expr("explode(sequence(1, cast(mix_taken AS int)))"))
+    return repeated.select(*[F.col(f"mix_row.`{c}`").alias(c) for c in documents.columns])

@@ -63,3 +63,11 @@ def test_mixture_repeats_rows(spark, awkward, empty):
     assert all(r.mix_taken == 0 for r in rows if size(r.text) == 0)
     assert {(r.source, r.mix_source_size) for r in rows} == set(sums(rows, lambda r: size(r.text)).items())
     assert taken(spark, empty) == [] and m.mixture(spark, empty).count() == 0
+
+
+def test_columns_with_names_of_the_figures_are_kept(spark):
+    rows = [(k, f"word number {k} of the text", "s", f"keep{k}", k / 2, "own") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_size string, mix_rank double, `mix_row` string")
+    out = m.mixture(spark, df)
+    assert out.dtypes == df.dtypes
+    assert {tuple(r) for r in out.collect()} <= set(rows) and out.count() > 0
