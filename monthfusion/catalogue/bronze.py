@@ -140,6 +140,22 @@ def bronze_file_lineage(spark, sf_dir):
     )
 
 
+def bronze_changed_files(spark, sf_dir):
+    """Files whose time of change differs from when they were loaded, and their rows."""
+    even, odd = _halves(_events(spark, sf_dir))
+    landing = scratch_dir(spark, "landing")
+    bronze = _bronze(spark, landing, **IDS)
+    _drop(even.repartition(3, "event_id"), landing, "first")
+    _drop(odd, landing, "second")
+    run_ingest([bronze])
+    _turn_back(spark, f"{landing}/first", 1)
+    run_ingest([bronze])
+    changed = bronze.changed_files().select(F.element_at(F.split("path", "/"), -1).alias("name"), "batch_id")
+    rows = bronze.read().select(F.element_at(F.split("source_file", "/"), -1).alias("name"))
+    found = rows.join(changed, "name").groupBy("name").agg(F.count("*").alias("n"))
+    return found.agg(F.count("*").alias("changed_files"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+
+
 def _broken_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, whose texts have many lines, without the characters that CSV dialects escape differently."""
     text = F.translate(F.coalesce("text", F.lit("")), '"\\\r', "   ")
@@ -200,6 +216,7 @@ QUERIES = {
     "bronze_add_columns": bronze_add_columns,
     "bronze_rescued_data": bronze_rescued_data,
     "bronze_file_lineage": bronze_file_lineage,
+    "bronze_changed_files": bronze_changed_files,
     "csv_line_breaks": csv_line_breaks,
     "bronze_line_breaks": bronze_line_breaks,
     "update_from_files": update_from_files,
@@ -230,6 +247,7 @@ _BROKEN = """
     SELECT doc_id, '> ' || translate(coalesce(text, ''), '"' || chr(92) || chr(13), '   ') || ' <' AS text, lang"""
 
 ORACLES = {
+    "bronze_changed_files": "SELECT CAST(3 AS BIGINT) AS changed_files, count(*) AS rows FROM events WHERE event_id % 2 = 0",
     "csv_line_breaks": f"{_BROKEN} FROM documents",
     "bronze_line_breaks": f"{_BROKEN}, CAST(NULL AS VARCHAR) AS rescued FROM documents",
     "update_increments": f"{sql.gold()} SELECT {_FUSED} FROM gold",

@@ -40,6 +40,7 @@ LINEAGE = (
     "source_modification_time timestamp, ingested_at timestamp"
 )
 _COLUMN_LOG = "position int, column_name string, data_type string"
+_FILES = "path string, length bigint, modification_time timestamp, batch_id bigint"
 NO_AGE_LIMIT = "36500d"
 _WIDER = ("int", "bigint", "double")
 _RESERVED = {
@@ -78,6 +79,7 @@ class BronzeTable:
         self.landing = landing
         self.path = f"{root.rstrip('/')}/bronze_{landing.name}_source"
         self._columns_path = f"{self.path}/_columns"
+        self._files_path = f"{self.path}/_files"
         self.checkpoint = f"{self.path}/_checkpoint"
 
     # -- schema -----------------------------------------------------------
@@ -139,6 +141,29 @@ class BronzeTable:
         rows = self.spark.read.schema(with_batch).parquet(self.path)
         return rows.where(f"batch_id > {batch_id}").selectExpr(*_names(schema))
 
+    # -- files ------------------------------------------------------------
+
+    def log_files(self, listing: DataFrame, batch_id: int) -> None:
+        """Note the files of a batch as they were when it was loaded."""
+        rows = listing.selectExpr("path", "length", "modificationTime AS modification_time")
+        rows.write.mode("overwrite").parquet(f"{self._files_path}/batch_id={batch_id}")
+
+    def loaded_files(self) -> DataFrame:
+        """(path, length, modification_time, batch_id) of every file loaded so far."""
+        if not holds_data(self.spark, self._files_path):
+            return self.spark.createDataFrame([], _FILES)
+        return self.spark.read.schema(_FILES).parquet(self._files_path)
+
+    def changed_files(self) -> DataFrame:
+        """Files that are not as they were when they were loaded, and those gone.
+
+        They are not loaded again, as their rows are in the table.  Spark joins the
+        folder's listing with the noted files; ``now_length`` is NULL for a file that is gone.
+        """
+        now = files_of(self.spark, self.landing).selectExpr("path", "length AS now_length", "modificationTime AS now_time")
+        both = self.loaded_files().join(now, "path", "left")
+        return both.where("NOT (length <=> now_length AND modification_time <=> now_time)")
+
     @property
     def comment(self) -> str:
         return f"Raw {self.landing.name} observations as delivered, with rescued data and lineage"
@@ -275,6 +300,14 @@ def _entry(name: str, value: str) -> str:
     return f"named_struct('name', {literal(name)}, 'value', {value})"
 
 
+def files_of(spark: SparkSession, landing: Landing) -> DataFrame:
+    """The files in a landing folder now, without their content."""
+    reader = spark.read.format("binaryFile").schema(FILE_LISTING).option("recursiveFileLookup", "true")
+    if landing.pattern:
+        reader = reader.option("pathGlobFilter", landing.pattern)
+    return reader.load(literal_path(landing.path)).select("path", "length", "modificationTime")
+
+
 def ingest(table: BronzeTable) -> StreamingQuery:
     """Start loading the files that were not loaded before, then stop.
 
@@ -292,12 +325,13 @@ def ingest(table: BronzeTable) -> StreamingQuery:
     )
     if landing.pattern:
         reader = reader.option("pathGlobFilter", landing.pattern)
-    files = reader.load(landing.path).select("path")
+    files = reader.load(landing.path).select("path", "length", "modificationTime")
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        paths = sorted(r.path for r in batch.collect())
+        paths = sorted(r.path for r in batch.select("path").collect())
         if paths:
             table.load(paths, batch_id)
+            table.log_files(batch, batch_id)
 
     return (
         files.writeStream.queryName(f"bronze_{landing.name}")

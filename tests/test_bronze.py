@@ -195,3 +195,19 @@ def test_table_can_be_registered_with_its_comment(spark, tmp_path, landing):
     told = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED bronze_demo").collect()}
     assert told["Comment"] == table.comment
     spark.sql("DROP VIEW bronze_demo")
+
+
+def test_changed_and_lost_files_are_reported(spark, tmp_path, landing):
+    for name in ("a [1].csv", "b.csv", "c.csv", "d.csv"):
+        (landing / name).write_text("id\n1\n")
+    table = bronze(spark, tmp_path, landing, files_per_batch=2)
+    assert table.changed_files().count() == 0
+    run_ingest([table])
+    assert table.changed_files().count() == 0 and table.loaded_files().count() == 4
+    (landing / "a [1].csv").write_text("id\n1\n2\n")
+    os.utime(landing / "b.csv", (1_700_000_000, 1_700_000_000))
+    (landing / "c.csv").unlink()
+    run_ingest([table])
+    got = {r.path.rsplit("/", 1)[1]: (r.length, r.now_length) for r in table.changed_files().collect()}
+    assert got == {"a [1].csv": (5, 7), "b.csv": (5, 5), "c.csv": (5, None)}
+    assert table.read().count() == 4
