@@ -1,6 +1,9 @@
+import random
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from monthfusion.llm import decontaminate as d
 
 SMALL = "/root/testdata/sf0.001"
@@ -85,8 +88,54 @@ def test_empty_tables(spark, awkward, empty):
     assert d.drop_contaminated(spark, awkward, bench.limit(0)).count() == awkward.count()
 
 
-def test_blocks_guarantee_the_radius():
-    assert sum(n for _, n in d.BLOCKS) == 64 and len(d.BLOCKS) == d.RADIUS + 1 and all(n for _, n in d.BLOCKS)
+def test_blocks_guarantee_the_radius(spark):
+    assert sum(n for _, n in d.CUTS) == d.BITS and min(n for _, n in d.CUTS) >= 8 and d.RADIUS == 38
+    rng = random.Random(3)
+    rows = []
+    for k in range(200):
+        a = rng.getrandbits(d.BITS)
+        flips = rng.sample(range(d.BITS), d.RADIUS if k % 2 else rng.randint(0, d.RADIUS))
+        rows.append((k, *(signed(x) for x in (a, a ^ sum(1 << f for f in flips)))))
+    df = spark.createDataFrame(rows, "k long, a array<long>, b array<long>")
+    one = df.select("k", F.col("a").alias("fingerprint")).select("k", F.expr(d.own_blocks()))
+    two = df.select("k", F.col("b").alias("fingerprint")).select("k", F.expr(d.near_blocks()))
+    assert one.count() == 200 * d.BLOCKS and two.count() == 200 * sum(len(d.masks(n)) for _, n in d.CUTS)
+    assert one.join(two, ["k", "block", "bits"]).select("k").distinct().count() == 200
+
+
+def signed(x):
+    return [v - (1 << 64) if v >> 63 else v for v in (x & (1 << 64) - 1, x >> 64)]
+
+
+def test_recall_against_brute_force(spark):
+    """Items of 16 to 59 words with one to three words replaced, dropped or put in: of all
+    windows that reach the threshold at least nine in ten are found."""
+    rng = random.Random(8)
+    items, docs = [], []
+    for k in range(90):
+        n = 16 + k % 44
+        item = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(n)]
+        items.append((k, " ".join(item)))
+        for e in range(4):
+            w = list(item)
+            for _ in range(e):
+                at = rng.randrange(len(w))
+                w[at : at + rng.randint(0, 1)] = [f"new{rng.random()}"] * rng.randint(0, 1)
+            docs.append((10 * k + e, " ".join(["lead"] * rng.randint(0, 9) + w + ["trail"] * 5)))
+    want = brute(docs, items)
+    found = result(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert len(want) > 150 and set(found) <= set(want)
+    assert len(found) >= 0.99 * len(want) and all(abs(found[k] - want[k]) < 1e-9 for k in found)
+    # Some are far from exact copies, so fingerprints do differ.
+    assert sum(v < 0.9 for v in want.values()) > 50
+
+
+def test_long_item_lists_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(d, "BROADCAST_ROWS", 0)
+    items = [(1, " ".join(f"q{i}" for i in range(40))), (2, "three short words")]
+    docs = [(1, f"a {items[0][1]} b"), (2, "with three short words in it"), (2, "with three short words in it"), (None, items[0][1]), (3, "none")]
+    found = result(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert same(found, brute(docs, items)) and len(found) == 3
 
 
 def test_native(spark):
