@@ -17,7 +17,8 @@ used, none are sampled.  Labels, language, source and id never enter a score.
 Defined cases: NULL and empty texts have all statistics 0 and get a score.  Repeated
 rows and tied ids are scored each.  Several labels of one id are averaged, NULL labels
 ignored; a NULL id has no label and is not held out.  Without labelled rows all scores
-are 0.5.  An empty table gives an empty result.  Other columns are ignored.
+are 0.5.  An empty table gives an empty result.  Other columns are not read,
+whatever their names.  A very long text is read in blocks; its statistics cover all of it.
 """
 
 from __future__ import annotations

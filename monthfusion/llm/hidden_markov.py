@@ -23,7 +23,9 @@ model with 0.1 added to every count, by the same counts.
 
 Defined cases: NULL and empty texts are the end token alone.  A NULL id is not held out.
 Repeated rows and tied ids are texts of their own.  An empty table, or one without
-training texts, gives N = 0 and a uniform model.  Other columns are ignored.
+training texts, gives N = 0 and a uniform model.  Other columns are not read,
+whatever their names.  A very long text
+is scored whole, by one scaled recursion.
 """
 
 from __future__ import annotations

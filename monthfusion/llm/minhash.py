@@ -28,7 +28,9 @@ With 64 bands of 6 a pair of similarity 0.75 meets in a bucket with chance
 Defined cases: NULL, empty and blank texts have an empty set and are linked with
 nothing.  Texts of fewer than five words are one shingle.  Rows that share an id
 are documents of their own; equal rows have equal results.  NULL ids are left out
-of the least id of a component, unless it has no other.  Other columns are ignored.
+of the least id of a component, unless it has no other.  Other columns are not read,
+whatever their names.  A very long text is
+hashed in blocks; only its set of shingles is held at once.
 """
 
 from __future__ import annotations

@@ -15,6 +15,8 @@ Defined cases: NULL, empty and blank texts have no words, all statistics 0, and
 fail the base rule.  Repeated rows and tied ids are rows of their own, with equal
 verdicts.  An empty table gives an empty result.  Columns beside ``doc_id`` and
 ``text`` are ignored by ``document_votes`` and kept by ``keep_good``.
+A very long text is one row, and
+its statistics cover all of it.
 """
 
 from __future__ import annotations

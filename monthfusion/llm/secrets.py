@@ -17,7 +17,8 @@ Starts count code points and ends are exclusive.
 
 Defined cases: NULL text is the empty blob.  Repeated rows give repeated results, and
 so do NULL and tied ids, since paths are never grouped.  Empty tables give empty
-results.  Other columns are ignored.
+results.  Other columns are not read,
+whatever their names.  A very long text is scanned whole, as one blob.
 """
 
 from __future__ import annotations

@@ -22,11 +22,6 @@ def words(text: str) -> str:
     return f"if({trimmed} = '', cast(array() AS array<string>), split({trimmed}, {BLANK_RUN}))"
 
 
-def lower_ascii(text: str) -> str:
-    """Only A to Z in lower case; other letters stay."""
-    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-
 def plain_words(text: str) -> str:
     """Array of the runs of digits, letters and non-ASCII characters, in lower case."""
     return rf"regexp_extract_all(lower(coalesce({text}, '')), r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+', 0)"

@@ -22,7 +22,9 @@ before come from a bounded cache.
 Defined cases: NULL and empty texts have the end id only.  Documents without id come
 first.  Equal ids are ordered by a hash of the text, then by the text; repeated rows
 are records of their own.  An empty table gives no files and an empty result.  Other
-columns are ignored.
+columns are not read, whatever their names.
+A very long text is one record, encoded in one piece of
+memory and read back whole.
 """
 
 from __future__ import annotations

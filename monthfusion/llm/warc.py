@@ -21,7 +21,8 @@ Defined cases: NULL and empty pages are responses of no bytes.  NULL page ids so
 all others and are kept as NULL.  Rows with equal payload and the same largest id are all
 responses.  Characters outside ASCII, white space and angle brackets in addresses are
 percent-encoded; a NULL address is left out.  Empty tables give no archives and an empty
-result.  Other columns are ignored.
+result.  Other columns are not read,
+whatever their names.  A very long page is one record, written and read in one task.
 """
 
 from __future__ import annotations

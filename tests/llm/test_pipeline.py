@@ -1,5 +1,7 @@
 """The pipeline's stages on a small table with cases planted in it."""
 
+from collections import Counter
+
 import corpus_pipeline as p
 from monthfusion.llm.queries import QUERIES, table
 
@@ -37,3 +39,17 @@ def test_stages_act_on_what_is_left(spark, tmp_path):
     assert sorted(left["token_records"]) == sorted(left["mixing"])
     starts = docs.orderBy("doc_id", "start").collect()
     assert [r.start for r in starts][0] == 0 and sum(r.n_tokens for r in starts) == max(r.start + r.n_tokens for r in starts)
+
+
+def test_stages_take_awkward_and_empty_tables(spark, awkward, empty):
+    """NULL, empty, repeated and very long rows, and columns with names of the operators."""
+    for docs in (awkward, empty):
+        for name, stage in p.STAGES[:-1]:
+            out = stage(spark, docs, SMALL)
+            assert out.dtypes == docs.dtypes
+            given, left = (Counter(map(str, df.collect())) for df in (docs, out))
+            assert left.keys() <= given.keys()
+            if name != "mixing":
+                assert left <= given
+        last = p.STAGES[-1][1](spark, docs, SMALL)
+        assert sorted(str(r.doc_id) for r in last.collect()) == sorted(str(r.doc_id) for r in docs.collect())
