@@ -3,6 +3,12 @@
 Each stage takes what its predecessor kept and returns documents with the same
 columns; the last returns what the record files hold.  ``run`` writes each result to
 the shared folder and reads it again as the next stage's input.
+
+Defined cases, as of the stages' operators: documents with NULL, empty or blank texts fail
+the quality rules.  Repeated rows and rows that share an id are documents of their own
+until the second stage, which keeps one row of each class of near copies.  Very long texts
+are documents like others.  All columns but those of the last stage's result are kept as
+they are, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
