@@ -10,6 +10,7 @@ import pyarrow as pa
 
 from monthfusion.llm import classifier as c
 from monthfusion.llm import hidden_markov as h
+from monthfusion.llm.words import numbers
 
 MEDIUM = "/root/testdata/sf0.01"
 
@@ -126,3 +127,62 @@ def test_statistics_of_one_text_do_not_depend_on_others():
     together = c.statistics(pa.array(texts))
     alone = np.concatenate([c.statistics(pa.array([t], pa.string())) for t in texts])
     assert np.allclose(together, alone) and (together[1] == 0).all()
+
+
+def plain_statistics(text):
+    data = (text or "").encode()
+    words = data.lower().split()
+    size, some = max(len(data), 1), max(len(words), 1)
+    kinds = [b"#*$%&|<>", bytes(range(65, 91)), b"0123456789", b"!?", b".,;:", b"\n", bytes(range(128, 256))]
+    counts = [sum(x in k for x in data) for k in kinds]
+    often = Counter(words)
+    again = sum(a == b for a, b in zip(words, words[1:]))
+    return [n / size for n in counts] + [
+        math.log1p(len(words)), sum(map(len, words)) / some, math.log1p(max(map(len, words), default=0)), len(often) / some,
+        max(often.values(), default=0) / some, again / some, math.log1p(len(words) / (counts[5] + 1)),
+    ]
+
+
+def plain_isotonic(levels):
+    """Largest of least means over all spans that hold a level; equal neighbours are one block."""
+    fitted = []
+    for i in range(len(levels)):
+        means = [min(sum(g for _, _, g in levels[a:b]) / sum(n for _, n, _ in levels[a:b]) for b in range(i + 1, len(levels) + 1)) for a in range(i + 1)]
+        fitted.append(max(means))
+    points = []
+    for value in sorted(set(round(f, 12) for f in fitted)):
+        block = [x for x, f in zip(levels, fitted) if round(f, 12) == value]
+        n, good = sum(b[1] for b in block), sum(b[2] for b in block)
+        level = sum(b[0] * b[1] for b in block) / n
+        points.append((c.LOW + (level + 0.5) * (c.HIGH - c.LOW) / c.LEVELS, (good + 0.5) / (n + 1)))
+    return points
+
+
+def test_classifier_equals_a_plain_version(spark):
+    """Features, equations, ridge weights and calibration from whole matrices."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.select("doc_id", "text").collect()
+    known = {r.doc_id: float(r.quality) for r in labels.collect() if r.quality is not None}
+    x = np.array([plain_statistics(r.text) for r in rows])
+    spread = x.std(axis=0)
+    x = np.clip((x - x.mean(axis=0)) / np.where(spread > 1e-9, spread, 1), -8, 8)
+    n = x.shape[1]
+    unit = [(int(v) >> 11) / 2**53 + 2**-54 for v in numbers(2 * n * c.FEATURES, 7)]
+    half = n * c.FEATURES
+    normal = np.array([math.sqrt(-2 * math.log(unit[k])) * math.cos(2 * math.pi * unit[half + k]) for k in range(half)]).reshape(n, c.FEATURES)
+    phase = np.array([(int(v) >> 11) * 2 * math.pi / 2**53 for v in numbers(c.FEATURES, 8)])
+    z = np.hstack([np.cos(x @ normal / c.WIDTH + phase) * math.sqrt(2 / c.FEATURES), np.ones((len(x), 1))])
+    fold = np.array([zlib.crc32(str(r.doc_id).encode()) % 3 for r in rows])
+    y = np.array([known.get(r.doc_id, np.nan) for r in rows])
+    fit = (fold == 0) & ~np.isnan(y)
+    calibrate = (fold == 2) & ~np.isnan(y)
+    # Ridge as least squares with rows of their own for the penalty.
+    penalty = math.sqrt(c.RIDGE * fit.sum() / c.FEATURES) * np.eye(c.FEATURES + 1)
+    weights = np.linalg.lstsq(np.vstack([z[fit], penalty]), np.concatenate([y[fit], np.zeros(c.FEATURES + 1)]), rcond=None)[0]
+    raw = z @ weights
+    level = np.clip((raw - c.LOW) / (c.HIGH - c.LOW) * c.LEVELS, 0, c.LEVELS - 1).astype(int)
+    counted = [(k, int((level[calibrate] == k).sum()), y[calibrate][level[calibrate] == k].sum()) for k in sorted(set(level[calibrate]))]
+    want = np.interp(raw, *zip(*plain_isotonic(counted)))
+    got = {r.doc_id: (r.held_out, r.score) for r in c.quality_scores(spark, docs, labels).collect()}
+    assert all(got[r.doc_id][0] == (f == 1) for r, f in zip(rows, fold))
+    assert max(abs(got[r.doc_id][1] - w) for r, w in zip(rows, want)) < 1e-6
