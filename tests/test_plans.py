@@ -1,6 +1,7 @@
 """The plans Spark makes: shuffles, pushed filters, no Python, no cross joins."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from builders import BIRD
 from monthfusion.catalogue import QUERIES
@@ -70,12 +71,21 @@ def test_a_slot_is_one_scan_and_one_shuffle(spark):
         assert text.count(f"{facts}.parquet") == 1 and text.count("Exchange hashpartitioning") == 1
 
 
-def test_slots_are_sparse_and_hold_zeros(spark):
-    keys = {s: df.groupBy("Year", "Month", "FIPS").agg({CONTRACT.source(s).outcome: "max"}) for s, df in all_sources(spark, SMALL).items()}
-    sizes = {s: df.count() for s, df in keys.items()}
-    assert sizes["mosquito"] < sizes["horse"] / 2
-    for s, df in keys.items():
-        assert 0 < df.where(f"`max({CONTRACT.source(s).outcome})` = 0").count() < sizes[s] / 3
+def test_a_slot_reports_every_month_with_the_weight_of_all_its_facts(spark):
+    """Whole months of all facts: an outcome is the number of facts of its key, in the mosquito
+    slot that of closed line items, so some are zero."""
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    weights = {"bird": spark.read.parquet(f"{SMALL}/orders.parquet").count(), "horse": lines.count(), "mosquito": lines.where("l_linestatus = 'F'").count()}
+    keys = {}
+    for s, df in all_sources(spark, SMALL).items():
+        outcome = CONTRACT.source(s).outcome
+        keys[s] = df.groupBy("Year", "Month", "FIPS").agg(F.max(outcome).alias("most"), F.min(outcome).alias("least"), F.count("*").alias("n")).cache()
+        assert keys[s].where("most <> least").count() == 0
+        assert keys[s].agg(F.sum("most")).first()[0] == weights[s]
+    assert all(df.where("most <> n").count() == 0 for df in (keys["bird"], keys["horse"]))
+    months = [df.select("Year", "Month", "FIPS") for df in (keys["horse"], keys["mosquito"])]
+    assert months[0].exceptAll(months[1]).count() == 0 == months[1].exceptAll(months[0]).count()
+    assert 0 < keys["mosquito"].where("most = 0").count() < keys["mosquito"].count()
 
 
 LAZY = [n for n in QUERIES if not n.startswith(("bronze_", "csv_", "update_", "publish_", "missing_", "validate_all", "validate_headers", "described_columns"))]
