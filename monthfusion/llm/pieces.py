@@ -40,12 +40,13 @@ class PieceIds:
     go to its model without its general preparation of texts.
     """
 
-    def __init__(self, path: str, word: str = "(?!)"):
+    def __init__(self, path: str, word: str = "(?!)", kept: int = KEPT):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.word, self.model = re.compile(word).fullmatch, self.tokenizer.model
+        self.kept = kept
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -63,7 +64,7 @@ class PieceIds:
 
     def encode(self, strings: list[str]) -> list[bytes]:
         """Ids of distinct strings."""
-        if len(self.young) > KEPT:
+        if len(self.young) > self.kept:
             self.young, self.old = {}, self.young
         found = list(map(self.young.get, strings))
         missing = [k for k, ids in enumerate(found) if ids is None]
@@ -94,4 +95,6 @@ def expand(flat: np.ndarray, lengths: np.ndarray, wanted: np.ndarray) -> tuple[n
     """The runs of ``flat`` (run k has ``lengths[k]`` values) with the numbers ``wanted``."""
     sizes = lengths[wanted]
     shift = (np.cumsum(lengths) - lengths)[wanted] - (np.cumsum(sizes) - sizes)
-    return flat[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))], sizes
+    at = np.repeat(shift, sizes)
+    at += np.arange(len(at))
+    return flat[at], sizes

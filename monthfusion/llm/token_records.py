@@ -56,8 +56,10 @@ BORDERS = ("([!-~À-ɏ]\\n)([A-Za-zÀ-ÖØ-öø-ɏ])", "([!-~À-ɏ])([ \\n])", "
 BORDER = "\0"
 #: Pieces of Latin letters, with a space before them or not, that the tokenizer takes as one unit.
 WORD = " ?[A-Za-zÀ-ÖØ-öø-ɏ]+"
-#: Bytes of texts encoded together.
-TEXTS = 1 << 23
+#: Bytes of texts encoded together; a worker takes some 25 times as much while it does so.
+TEXTS = 1 << 21
+#: Strings whose ids a worker keeps, in each of two generations: some 130 bytes each.
+KEPT = 100_000
 #: Bytes of a file read at once; a longer record is read whole.
 BUFFER = 1 << 22
 #: Rows handed back at once.
@@ -77,7 +79,7 @@ _loaded: dict[str, PieceIds] = {}
 
 def encoder(encoding: Encoding):
     """A function from texts to id arrays; a worker keeps tokenizer and cache for later tasks."""
-    pieces = _loaded.get(encoding.path) or _loaded.setdefault(encoding.path, PieceIds(encoding.path, WORD))
+    pieces = _loaded.get(encoding.path) or _loaded.setdefault(encoding.path, PieceIds(encoding.path, WORD, KEPT))
 
     def encode(texts: list[str] | pa.Array) -> list[bytes]:
         column = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")

@@ -1,5 +1,8 @@
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -90,3 +93,22 @@ def test_damage_is_noticed():
             payloads, used = t.unframe(bytes(bad))
             assert used != len(data)
             raise ValueError
+
+
+def test_a_worker_stays_small_over_many_new_words():
+    """Three workers share what an executor has beside its heap."""
+    code = """
+import resource, pyarrow as pa, public_tokenizers
+from monthfusion.llm import token_records as t
+from monthfusion.llm.batches import gathered
+encode, _ = t.encoder(t.Encoding(public_tokenizers.path("byte_bpe_50k.json"), 2))
+peak = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1000
+before = peak()
+texts = (" ".join("w" + "".join(chr(97 + int(d)) for d in str(k * 1009)) for k in range(n, n + 1000)) for n in range(0, 1_500_000, 1000))
+for batch in gathered((pa.record_batch([[text]], ["text"]) for text in texts), t.TEXTS):
+    encode(batch.column("text"))
+print(peak() - before)
+"""
+    root = str(Path(__file__).resolve().parents[2])
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 300
