@@ -16,9 +16,12 @@ Then, exactly:
   sets' bitmaps, in which each shingle flips one of ``BITS`` bits: two bitmaps differ in
   no more bits than the sets differ in shingles;
 * where a bucket still holds nodes of different components, ``STARS`` more rounds take a
-  centre of another component in it, and compare it with the members of all others.
-  What then is apart is compared pair by pair across components, if the bounds allow a
-  link.  The steps are the same at every size, and no bucket is cut or skipped;
+  centre of a component that had none yet, and compare it with the members of all others.
+  What then is apart is compared pair by pair across components.  The bounds are part of
+  the joins that make these pairs, so only pairs that may be links become rows, and a pair
+  that an earlier round has compared is not compared again.  The steps are the same at
+  every size (those after a round only follow if it found a link), and no bucket is cut
+  or skipped;
 * components are joined by the large-star, small-star method, each step written to
   the shared folder.
 
@@ -210,6 +213,7 @@ class NearDuplicates:
         self.folder = scratch_dir(spark, "near-duplicates")
         self.documents = keyed(documents)
         self.step, self.parts = 0, 1
+        self.compared: list[str] = []
 
     def few(self, df: DataFrame) -> DataFrame:
         """Tables of pairs and labels are small beside the texts: fewer tasks, by their rows."""
@@ -222,6 +226,12 @@ class NearDuplicates:
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def save_pairs(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that are compared next."""
+        saved = self.save(self.few(pairs))
+        self.compared.append(f"{self.folder}/{self.step}")
+        return saved
+
     def sketches(self) -> DataFrame:
         return self.save(self.documents.mapInArrow(_sketch, SKETCH_DDL))
 
@@ -253,7 +263,7 @@ class NearDuplicates:
         for side in ("b", "a"):
             named = told.select(F.col("node").alias(side), F.col("n_shingles").alias(f"{side}_n"), F.col("map").alias(f"{side}_map"))
             pairs = self.few(pairs.join(named, side))
-        return self.save(self.few(pairs.where(MAY_LINK).select("a", "b").distinct()))
+        return self.save_pairs(pairs.where(MAY_LINK).select("a", "b").distinct())
 
     def texts(self, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         """(node, text) for the nodes of some pairs.
@@ -271,9 +281,9 @@ class NearDuplicates:
         return self.save(near.join(reps.hint("merge"), same).groupBy("node").agg(F.any_value("text").alias("text")))
 
     def verify(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are links.  ``a`` may be a centre of very many pairs:
-        its text is joined last, so that Spark can split the key, and hashed once per run."""
-        pairs = self.bounded(pairs, nodes)
+        """Of saved pairs (a, b) within the bounds those that are links.  ``a`` may be a centre of
+        very many pairs: its text is joined last, so that Spark can split the key, and hashed
+        once per run."""
         texts = self.texts(nodes, pairs)
         b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -312,27 +322,35 @@ class NearDuplicates:
         rows = self.buckets(nodes)
         self.parts = max(LEAST_TASKS, rows.count() // ROWS_PER_TASK)
         pairs = rows.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-        labels = self.components(self.verify(pairs, nodes))
+        labels = self.components(self.verify(self.bounded(pairs, nodes), nodes))
         # Buckets whose star left members apart: only they are looked at again.
         known = self.labelled(self.labelled(rows.select("key", F.col("center").alias("a"), F.col("node").alias("b")), labels, "a"), labels, "b")
         keys = known.where("a_label != b_label").select("key").distinct()
         left = rows.join(keys, "key")
         members = self.save(left.select("key", "node").unionByName(left.select("key", F.col("center").alias("node"))).distinct())
+        # The first centre of a bucket is its least node.
+        centers = members.groupBy("key").agg(F.min("node").alias("node"))
+        apart = self.apart(members, labels)
         for _ in range(STARS):
-            apart = self.apart(members, labels)
             if apart.isEmpty():
                 return labels
-            # The next centres: the least node of every component but that of the first one,
-            # so each component in a bucket is compared with one more of its members.
-            first = apart.groupBy("key").agg(F.min("node_label").alias("first"))
-            centers = apart.join(first, "key").where("node_label != first").groupBy("key").agg(F.min("node").alias("center"))
-            pairs = apart.join(centers, "key").where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b"), "node_label")
-            pairs = self.labelled(pairs, labels, "a").where("a_label != node_label").select("a", "b").distinct()
-            labels = self.components(self.contracted(labels, self.verify(pairs, nodes)))
-        apart = self.apart(members, labels)
-        if apart.isEmpty():
+            # The next centres: the least node of all components that had no centre, so each
+            # component in a bucket is compared with one more of its members.
+            had = self.labelled(centers, labels, "node").select("key", "node_label")
+            ones = apart.groupBy("key", "node_label").agg(F.min("node").alias("node")).join(had, ["key", "node_label"], "left_anti")
+            now = self.save(self.few(ones.groupBy("key").agg(F.min("node").alias("node"))))
+            centers = centers.unionByName(now)
+            more = self.joined(labels, self.crossing(apart, nodes, now), nodes)
+            if more is not labels:
+                labels, apart = more, self.apart(members, more)
+        return labels if apart.isEmpty() else self.joined(labels, self.crossing(apart, nodes), nodes)
+
+    def joined(self, labels: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The labels by what is known and the links among ``pairs``; the same if there are none."""
+        if pairs.isEmpty():
             return labels
-        return self.components(self.contracted(labels, self.verify(self.crossing(apart, nodes), nodes)))
+        links = self.verify(pairs, nodes)
+        return labels if links.isEmpty() else self.components(self.contracted(labels, links))
 
     def apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
         """(key, node, node_label) of the buckets that hold several components."""
@@ -340,14 +358,18 @@ class NearDuplicates:
         several = known.groupBy("key").agg(F.min("node_label").alias("least"), F.max("node_label").alias("most")).where("least != most")
         return self.save(self.few(known.join(several.select("key"), "key")))
 
-    def crossing(self, apart: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Pairs (a, b) across components that share a bucket and that the bounds leave."""
+    def crossing(self, apart: DataFrame, nodes: DataFrame, centers: DataFrame | None = None) -> DataFrame:
+        """Pairs (a, b) across components that share a bucket, that the bounds leave and that
+        were not compared before; with ``centers`` (key, node) only those whose ``a`` is one."""
         told = nodes.select("node", F.col("n_shingles").alias("n"), "map")
         rows = apart.join(told, "node")
-        one, two = (rows.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "node_label", "n", "map"))) for side in "ab")
-        across = f"a_node < b_node AND a_node_label != b_node_label AND {MAY_LINK}"
-        met = one.withColumnRenamed("key", "a_key").join(two, F.expr(f"a_key = key AND {across}"))
-        return self.few(met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))).distinct()
+        first = rows if centers is None else rows.join(centers, ["key", "node"], "left_semi")
+        one, two = (df.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "node_label", "n", "map"))) for side, df in (("a", first), ("b", rows)))
+        once = "a_node < b_node AND " if centers is None else ""
+        met = one.withColumnRenamed("key", "a_key").join(two, F.expr(f"a_key = key AND {once}a_node_label != b_node_label AND {MAY_LINK}"))
+        pairs = met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+        before = self.spark.read.schema(PAIR_DDL).parquet(*self.compared).selectExpr("least(a, b) AS low", "greatest(a, b) AS high")
+        return self.save_pairs(pairs.join(before, F.expr("least(a, b) = low AND greatest(a, b) = high"), "left_anti"))
 
     def classes(self) -> DataFrame:
         """Per document: doc_id, text_hash, n_shingles, component_id, n_equal (rows with

@@ -126,6 +126,21 @@ def test_one_common_bucket_is_enough_across_components(spark):
     assert in_buckets(spark, texts, [[7, 1], [7, 2], [7, 3]]) == [(2, 1)]
 
 
+def test_no_pair_is_compared_twice(spark, monkeypatch):
+    """Texts that the bounds take for near copies but that are none stay apart in every round."""
+    compared, verify = [], m.NearDuplicates.verify
+
+    def recorded(self, pairs, nodes):
+        compared.extend(tuple(sorted((r.a, r.b))) for r in self.bounded(pairs, nodes).collect())
+        return verify(self, pairs, nodes)
+
+    monkeypatch.setattr(m.NearDuplicates, "verify", recorded)
+    words = [f"w{k}" for k in range(510)]
+    texts = [" ".join([*words, *(f"own{j}x{k}" for k in range(90))]) for j in range(8)]
+    assert in_buckets(spark, texts, [[7, 8]] * 8) == []
+    assert sorted(compared) == sorted(set(compared)) == [(a, b) for a in range(8) for b in range(a + 1, 8)]
+
+
 @pytest.mark.parametrize("stars", [0, 3])
 def test_a_bucket_in_several_parts(spark, monkeypatch, stars):
     monkeypatch.setattr(m, "STARS", stars)
