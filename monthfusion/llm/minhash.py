@@ -15,13 +15,14 @@ Then, exactly:
   fetched, pairs go that cannot be links by two exact bounds: of the sizes, and of the
   sets' bitmaps, in which each shingle flips one of ``BITS`` bits: two bitmaps differ in
   no more bits than the sets differ in shingles;
-* where a bucket still holds nodes of different components, ``STARS`` more rounds take a
-  centre of a component that had none yet, and compare it with the members of all others.
-  What then is apart is compared pair by pair across components.  The bounds are part of
-  the joins that make these pairs, so only pairs that may be links become rows, and a pair
-  that an earlier round has compared is not compared again.  The steps are the same at
+* where a bucket still holds nodes of different components, one more round takes ``STARS``
+  centres, of components that had none yet, and compares them with the members of all
+  others.  What then is apart is compared pair by pair across components.  The bounds are
+  part of the joins that make these pairs, so only pairs that may be links become rows, and
+  a pair that was compared before is not compared again.  The steps are the same at
   every size (those after a round only follow if it found a link), and no bucket is cut
-  or skipped;
+  or skipped.  One round for all centres keeps the jobs few, each of which costs the driver
+  memory;
 * components are joined by the large-star, small-star method, each step written to
   the shared folder.
 
@@ -43,7 +44,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from monthfusion.llm.batches import give_back, small_batches
@@ -53,7 +54,7 @@ from monthfusion.sources.shipping import ship_package
 
 BANDS, ROWS = 64, 6
 BINS = BANDS * ROWS
-#: Rounds of stars with other centres before all that is still apart is compared.
+#: Further centres of a bucket before all that is still apart is compared.
 STARS = 3
 #: Bits of a bitmap, in longs of 64.
 BITS = 1024
@@ -303,9 +304,9 @@ class NearDuplicates:
             down = large.groupBy("u").agg(F.min("v").alias("m"))
             small = large.join(down, "u").select(F.explode(F.expr("array(struct(u AS u, m AS v), struct(v AS u, m AS v))")).alias("e"))
             edges = self.save(self.few(self.few(small.select("e.*").where("u != v")).distinct()))
-            several = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
-            inner = edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").select("u")
-            if self.few(several.unionByName(inner)).isEmpty():
+            ends = edges.selectExpr("inline(array(struct(u AS node, 1 AS up, 0 AS down), struct(v AS node, 0 AS up, 1 AS down)))")
+            ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            if self.few(ends.where("up > 1 OR up > 0 AND down > 0")).isEmpty():
                 return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
     def labelled(self, rows: DataFrame, labels: DataFrame, column: str) -> DataFrame:
@@ -328,23 +329,23 @@ class NearDuplicates:
         keys = known.where("a_label != b_label").select("key").distinct()
         left = rows.join(keys, "key")
         members = self.save(left.select("key", "node").unionByName(left.select("key", F.col("center").alias("node"))).distinct())
-        # The first centre of a bucket is its least node.
-        centers = members.groupBy("key").agg(F.min("node").alias("node"))
         apart = self.apart(members, labels)
-        for _ in range(STARS):
-            if apart.isEmpty():
-                return labels
-            # The next centres: the least node of all components that had no centre, so each
-            # component in a bucket is compared with one more of its members.
-            had = self.labelled(centers, labels, "node").select("key", "node_label")
-            ones = apart.groupBy("key", "node_label").agg(F.min("node").alias("node")).join(had, ["key", "node_label"], "left_anti")
-            now = self.save(self.few(ones.groupBy("key").agg(F.min("node").alias("node"))))
-            centers = centers.unionByName(now)
-            more = self.joined(labels, self.crossing(apart, nodes, now), nodes)
+        if STARS and not apart.isEmpty():
+            more = self.joined(labels, self.crossing(apart, nodes, self.centers(members, apart, labels)), nodes)
             if more is not labels:
                 labels, apart = more, self.apart(members, more)
         return labels if apart.isEmpty() else self.joined(labels, self.crossing(apart, nodes), nodes)
 
+    def centers(self, members: DataFrame, apart: DataFrame, labels: DataFrame) -> DataFrame:
+        """(key, node): the next centres of each bucket, the least nodes of STARS components
+        that had none.  Tasks keep STARS nodes of a bucket before any is moved for it."""
+        # The first centre of a bucket is its least node.
+        first = members.groupBy("key").agg(F.min("node").alias("node"))
+        had = self.labelled(first, labels, "node").select("key", "node_label")
+        ones = apart.groupBy("key", "node_label").agg(F.min("node").alias("node")).join(had, ["key", "node_label"], "left_anti")
+        ranked = ones.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("node")))
+        return self.save(self.few(ranked.where(F.col("rank") <= STARS).select("key", "node")))
+
     def joined(self, labels: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The labels by what is known and the links among ``pairs``; the same if there are none."""
         if pairs.isEmpty():
@@ -363,9 +364,13 @@ class NearDuplicates:
         were not compared before; with ``centers`` (key, node) only those whose ``a`` is one."""
         told = nodes.select("node", F.col("n_shingles").alias("n"), "map")
         rows = apart.join(told, "node")
-        first = rows if centers is None else rows.join(centers, ["key", "node"], "left_semi")
-        one, two = (df.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "node_label", "n", "map"))) for side, df in (("a", first), ("b", rows)))
-        once = "a_node < b_node AND " if centers is None else ""
+        if centers is None:
+            rows = first = rows.withColumn("center", F.lit(True))
+        else:
+            rows = rows.join(centers.withColumn("center", F.lit(True)), ["key", "node"], "left")
+            first = rows.where("center")
+        one, two = (df.select("key", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "node_label", "n", "map", "center"))) for side, df in (("a", first), ("b", rows)))
+        once = "(b_center IS NULL OR a_node < b_node) AND "
         met = one.withColumnRenamed("key", "a_key").join(two, F.expr(f"a_key = key AND {once}a_node_label != b_node_label AND {MAY_LINK}"))
         pairs = met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
         before = self.spark.read.schema(PAIR_DDL).parquet(*self.compared).selectExpr("least(a, b) AS low", "greatest(a, b) AS high")

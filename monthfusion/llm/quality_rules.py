@@ -137,7 +137,8 @@ def fit(voted: DataFrame, rules: tuple[Rule, ...] = RULES, iterations: int = 20,
     spark = voted.sparkSession
     folder = scratch_dir(spark, "vote-patterns")
     voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1).write.parquet(folder)
-    patterns = spark.read.parquet(folder)
+    # The patterns are few whatever the rows; one part needs no exchange in any round.
+    patterns = spark.read.parquet(folder).coalesce(1)
     model = start = LabelModel.start(rules)
     for _ in range(iterations):
         weighted = patterns.select("*", (F.col("n") * model.probability()).alias("g")).withColumn("b", F.col("n") - F.col("g"))

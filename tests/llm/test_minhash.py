@@ -179,3 +179,20 @@ def test_keep_one_row_of_each_class(spark, awkward, empty):
     assert sorted(with_words) == sorted(classes)
     assert m.keep_one(spark, empty).count() == 0
     assert kept.select(F.count("*")).first()[0] == len(got)
+
+
+def test_star_rounds_need_few_steps(spark, monkeypatch):
+    """All further centres of a bucket are compared in one round: every step costs the driver memory."""
+    runs, search = [], m.NearDuplicates.search
+
+    def kept(self, nodes):
+        runs.append(self)
+        return search(self, nodes)
+
+    monkeypatch.setattr(m.NearDuplicates, "search", kept)
+    rows = list(enumerate(chain(24, 60, 4) + chain(20, 40, 7)))
+    assert spark_result(spark, spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    words = [f"w{k}" for k in range(510)]
+    texts = [" ".join([*words, *(f"own{j}x{k}" for k in range(90))]) for j in range(8)]
+    assert in_buckets(spark, texts, [[7, 8]] * 8) == []
+    assert all(run.step <= 24 for run in runs)
