@@ -412,7 +412,7 @@ def keep_one(spark: SparkSession, documents: DataFrame) -> DataFrame:
     keep = keep.join(counts, same_key & keep["keep_id"].eqNullSafe(counts["keep_id"])).select(keep["keep_id"], keep["keep_hash"], "n_rows")
     folder = scratch_dir(spark, "kept-documents")
     keep.write.parquet(folder)
-    keep = spark.read.parquet(folder)
+    keep = spark.read.schema(keep.schema).parquet(folder)
     text_hash = F.xxhash64(F.coalesce(documents["text"], F.lit("")))
     columns = [documents[f"`{c}`"] for c in documents.columns]
     joined = documents.join(keep, (text_hash == keep["keep_hash"]) & documents["doc_id"].eqNullSafe(keep["keep_id"]))

@@ -104,7 +104,7 @@ def mix(
 
     def save(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
     rows = save(prepared(documents).select("doc_id", *(f"mix_{c}" for c in ("source", "size", "class", "hash", "unit"))), "rows")
     words = save(rows.groupBy("mix_source", "mix_class").agg(F.sum("mix_size").alias("mix_words")), "words")

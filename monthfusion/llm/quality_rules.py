@@ -136,9 +136,10 @@ def fit(voted: DataFrame, rules: tuple[Rule, ...] = RULES, iterations: int = 20,
     names = [f"vote_{r.name}" for r in rules]
     spark = voted.sparkSession
     folder = scratch_dir(spark, "vote-patterns")
-    voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1).write.parquet(folder)
+    counted = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    counted.coalesce(1).write.parquet(folder)
     # The patterns are few whatever the rows; one part needs no exchange in any round.
-    patterns = spark.read.parquet(folder).coalesce(1)
+    patterns = spark.read.schema(counted.schema).parquet(folder).coalesce(1)
     model = start = LabelModel.start(rules)
     for _ in range(iterations):
         weighted = patterns.select("*", (F.col("n") * model.probability()).alias("g")).withColumn("b", F.col("n") - F.col("g"))
@@ -174,8 +175,9 @@ def document_votes(spark: SparkSession, documents: DataFrame, rules: tuple[Rule,
     """doc_id, statistics and votes, written once to the shared folder."""
     folder = scratch_dir(spark, "document-votes")
     stats = statistics(documents.select("doc_id", "text")).select("doc_id", "stats.*")
-    stats.select("*", *votes(rules), F.expr(BASE_FAILED).alias("base_failed")).write.parquet(folder)
-    return spark.read.parquet(folder)
+    voted = stats.select("*", *votes(rules), F.expr(BASE_FAILED).alias("base_failed"))
+    voted.write.parquet(folder)
+    return spark.read.schema(voted.schema).parquet(folder)
 
 
 def judge(spark: SparkSession, documents: DataFrame, threshold: float = 0.5) -> DataFrame:
