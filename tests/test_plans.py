@@ -1,10 +1,12 @@
 """The plans Spark makes: shuffles, pushed filters, no Python, no cross joins."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from builders import BIRD
-from monthfusion.catalogue import QUERIES
+from compare import oracle
+from monthfusion.catalogue import ORACLES, QUERIES
 from monthfusion.catalogue.fusion import silver
 from monthfusion.operators.collapse import EXACT, GATE, collapse, distinct_value_max
 from monthfusion.operators.fuse import fuse
@@ -96,3 +98,23 @@ def test_no_python_and_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SMALL))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "Window", "MapPartitions"):
         assert node not in text
+
+
+def test_queries_and_their_sql_sum_whole_months(spark, tmp_path):
+    """Two open lines in March, a closed one in May: no fact and no month is left out on either side."""
+    con = duckdb.connect()
+    tables = {
+        "nation": "SELECT 2 AS n_nationkey, 'NATION_2' AS n_name",
+        "customer": "SELECT 1::BIGINT AS c_custkey, 2 AS c_nationkey",
+        "supplier": "SELECT 1::BIGINT AS s_suppkey, 2 AS s_nationkey",
+        "orders": "SELECT k::BIGINT AS o_orderkey, 1::BIGINT AS o_custkey, DATE '1996-03-05' AS o_orderdate FROM range(3) r(k)",
+        "lineitem": "SELECT k::BIGINT AS l_orderkey, 1::BIGINT AS l_suppkey, 1 AS l_linenumber, s AS l_linestatus, d AS l_shipdate"
+        " FROM (VALUES (0, 'O', DATE '1996-03-09'), (1, 'O', DATE '1996-03-10'), (2, 'F', DATE '1996-05-01')) v(k, s, d)",
+    }
+    for name, sql in tables.items():
+        con.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    want = [(1996, 3, 3, 2, 0), (1996, 5, None, 1, 1)]
+    _, rows, _ = oracle(ORACLES["left_join_sources"], str(tmp_path))
+    assert sorted((r[0], r[1], *r[3:]) for r in rows) == want
+    got = QUERIES["left_join_sources"](spark, str(tmp_path)).drop("county").collect()
+    assert sorted(tuple(r) for r in got) == want
