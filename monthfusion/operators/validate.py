@@ -13,7 +13,8 @@ from monthfusion.contracts import FusionContract, SourceContract
 from monthfusion.functions import literal, quoted
 from monthfusion.functions.keys import county_fold
 from monthfusion.functions.numbers import finite, is_blank, spelled, whole
-from monthfusion.sources.csv_files import file_paths, headers, scan_groups
+from monthfusion.sources.csv_files import MALFORMED, file_paths, headers, scan_groups, scan_numbers
+from monthfusion.sources.quoted import QuotedBreaks
 
 EMPTY = "empty_required"
 NOT_NUMBER = "nonnumeric"
@@ -166,13 +167,14 @@ def normalized(df: DataFrame, source: SourceContract) -> DataFrame:
     return _normalized(parsed(df, source), source)
 
 
-def _normalized(read: DataFrame, source: SourceContract) -> DataFrame:
+def _normalized(read: DataFrame, source: SourceContract, *kept: str) -> DataFrame:
     names = (source.outcome, *source.files.numeric_columns)
     return read.selectExpr(
         f"{whole('v_Year')} AS year",
         f"{whole('v_Month')} AS month",
         "county_key AS county",
         *(f"{quoted('v_' + n)} AS {quoted(n)}" for n in names),
+        *kept,
     )
 
 
@@ -196,8 +198,16 @@ def _groups(values: DataFrame, source: SourceContract) -> DataFrame:
     Rows of a key differ if least and largest digest do: two numbers a row stand for all
     of its columns.
     """
+    return _combined(_told(values, source))
+
+
+def _told(values: DataFrame, source: SourceContract, *kept: str) -> DataFrame:
+    """What a row tells of its key: whether it is incomplete, and its digests."""
     first, second = digest((source.outcome, *source.files.numeric_columns))
-    told = values.selectExpr("year", "month", "county", f"{_lacking(source)} AS lacking", f"{first} AS d1", f"{second} AS d2")
+    return values.selectExpr("year", "month", "county", f"{_lacking(source)} AS lacking", f"{first} AS d1", f"{second} AS d2", *kept)
+
+
+def _combined(told: DataFrame) -> DataFrame:
     return told.groupBy("year", "month", "county").agg(
         F.count("*").alias("n"),
         F.expr("count_if(lacking) AS incomplete"),
@@ -243,7 +253,11 @@ def report(df: DataFrame, source: SourceContract, path: str | None = None) -> Da
 
 
 def _report(read: DataFrame, source: SourceContract, path: str | None) -> DataFrame:
-    keys = _groups(_normalized(read, source), source)
+    return _summary(_groups(_normalized(read, source), source), source, path)
+
+
+def _summary(keys: DataFrame, source: SourceContract, path: str | None) -> DataFrame:
+    """One row over all keys."""
     summary = keys.agg(
         F.expr("coalesce(sum(n), 0L) AS raw_rows"),
         F.expr("count(*) AS unique_county_months"),
@@ -298,11 +312,42 @@ def assert_valid(df: DataFrame, source: SourceContract, path: str | None = None)
     return df.sparkSession.createDataFrame([row], done.schema)
 
 
+def _plain_report(df: DataFrame, source: SourceContract, path: str) -> DataFrame | None:
+    """The report of rows whose numbers are read already, or None if any row may be wrong.
+
+    Nearly all deliveries are sound, and their numbers plain: those need no look at texts.
+    """
+    seen = Observation()
+    numbers = [f"CAST({_text(df, c)} AS DOUBLE) AS {quoted('v_' + c)}" for c in _numeric(source)]
+    county = f"transform(array({_text(df, 'County')}), c -> {county_fold('c')})[0] AS county_key"
+    value = [quoted("v_" + c) for c in _numeric(source)]
+    required = [quoted("v_" + c) for c in ("Year", "Month", source.outcome)]
+    sound = " AND ".join(
+        [
+            f"{quoted(MALFORMED)} IS NULL AND county_key != ''",
+            *(f"{v} IS NOT NULL" for v in required),
+            *(f"coalesce(abs({v}) < double('Infinity'), true)" for v in value),
+            f"{whole('v_Year')} BETWEEN {source.files.year_bounds[0]} AND {source.files.year_bounds[1]}",
+            f"{whole('v_Month')} BETWEEN {source.files.month_bounds[0]} AND {source.files.month_bounds[1]}",
+            f"{quoted('v_' + source.outcome)} >= 0",
+        ]
+    )
+    read = df.selectExpr(quoted(MALFORMED), *numbers, county)
+    told = _told(_normalized(read, source, f"NOT coalesce({sound}, false) AS broken"), source, "broken")
+    done = _summary(_combined(told.observe(seen, F.expr("count_if(broken) AS broken"))), source, path)
+    row = done.first()
+    if not row.raw_rows or seen.get["broken"] or row.conflict_groups:
+        return None
+    return df.sparkSession.createDataFrame([row], done.schema)
+
+
 def validate_source(spark: SparkSession, path: str, source: SourceContract) -> DataFrame:
     """Validate the file or folder of one source.
 
     Every file, an empty one too, must have the required columns: headers are
-    checked apart from the scan, which looks only at columns that it reads.
+    checked apart from the scan, which looks only at columns that it reads.  Files of
+    plain numbers are read as numbers; only if that finds a fault, or a file may spell
+    numbers otherwise, texts are looked at.
     """
     try:
         paths = file_paths(spark, path)
@@ -311,7 +356,10 @@ def validate_source(spark: SparkSession, path: str, source: SourceContract) -> D
     groups = headers(spark, paths)
     for names in sorted(groups):
         require_columns(names, source)
-    return assert_valid(scan_groups(spark, groups), source, path)
+    breaks = QuotedBreaks(spark, paths)
+    plain = scan_numbers(spark, groups, breaks, _numeric(source))
+    found = None if plain is None else _plain_report(plain, source, path)
+    return assert_valid(scan_groups(spark, groups, breaks), source, path) if found is None else found
 
 
 def validate_all(spark: SparkSession, folder: str, contract: FusionContract) -> DataFrame:

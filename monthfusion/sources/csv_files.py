@@ -17,7 +17,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from monthfusion.functions import quoted
 from monthfusion.sources.paths import literal_path, plain_uri
@@ -100,15 +100,16 @@ def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list
 
 
 def scan(
-    spark: SparkSession, names: tuple[str, ...], paths: list[str], strict: bool, by_file: bool = False
+    spark: SparkSession, names: tuple[str, ...], paths: list[str], strict: bool, by_file: bool = False, numbers: Iterable[str] = ()
 ) -> DataFrame:
     """Text columns of files that share a header, with malformed lines and lineage.
 
     A line with too few or too many cells is kept whole in the malformed column
     too.  ``strict`` makes the scan fail on a file with another header.  ``by_file`` has
-    one task read a file, so that cells may hold line breaks.
+    one task read a file, so that cells may hold line breaks.  Columns in ``numbers`` are
+    read as double; a line with other text there is malformed.
     """
-    fields = [StructField(n, StringType()) for n in (*names, MALFORMED)]
+    fields = [StructField(n, DoubleType() if n in numbers else StringType()) for n in (*names, MALFORMED)]
     reader = spark.read.schema(StructType(fields)).option("header", "true")
     reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     reader = reader.option("enforceSchema", str(not strict).lower()).option("multiLine", str(by_file).lower())
@@ -144,6 +145,14 @@ def scan_groups(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], b
     return unite(frames)
 
 
+def scan_numbers(spark: SparkSession, groups: dict[tuple[str, ...], list[str]], breaks: QuotedBreaks, numbers: Iterable[str]) -> DataFrame | None:
+    """All files with some columns read as double; None if a file may spell numbers in ways
+    that only a look at the text can refuse, or has line breaks within cells."""
+    if not all(breaks.plain_numbers(p) for paths in groups.values() for p in paths):
+        return None
+    return unite([scan(spark, names, paths, strict=False, numbers=numbers) for names, paths in groups.items()])
+
+
 def file_paths(spark: SparkSession, path: str, pattern: str | None = None) -> list[str]:
     """Names of the files in a folder, or of one file; empty files are files too.
 

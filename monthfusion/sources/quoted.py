@@ -31,13 +31,24 @@ QUOTE, BREAK = ord('"'), ord("\n")
 #: Bytes behind which a quote opens a cell, or stands for itself in one.
 _BEFORE = np.zeros(256, bool)
 _BEFORE[[ord(","), ord("\n"), ord("\r"), QUOTE]] = True
+#: Bytes that may be part of a spelling of numbers that Spark's reader takes and contracts refuse:
+#: control characters, and in a number's place ``d``, ``f`` (suffixes) and ``x`` (hexadecimal).
+_CONTROL, _LETTER = 1, 2
+_ODD = np.zeros(256, np.uint8)
+_ODD[:32] = _CONTROL
+_ODD[[ord("\t"), BREAK, ord("\r")]] = 0
+_ODD[[ord(c) for c in "dDfFxX"]] = _LETTER
+_IN_NUMBER = np.zeros(256, bool)
+_IN_NUMBER[[ord(c) for c in "0123456789."]] = True
+#: Files that Spark reads unpacked and the look as they are.
+_PACKED = (".deflate", ".snappy")
 BOM = "﻿".encode()
 #: Bytes of a range.
 RANGE = 1 << 25
 #: How a file with line breaks within quotes is read.
 SPLIT, WHOLE = "split", "whole"
 
-_LOOK = "path string, start long, quotes long, inside_0 long, inside_1 long, stray_0 long, stray_1 long"
+_LOOK = "path string, start long, quotes long, inside_0 long, inside_1 long, stray_0 long, stray_1 long, odd long"
 
 
 def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +56,7 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for path, start, end in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "end")), strict=True):
-            counts, before = np.zeros(5, np.int64), None
+            counts, before = np.zeros(6, np.int64), None
             # The byte before the range tells whether its first quote opens a cell.
             for data in blocks(path, max(start - 1, 0), end):
                 if before is None:
@@ -55,9 +66,12 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part = np.frombuffer(data, np.uint8)
                 quotes = np.flatnonzero(part == QUOTE)
                 within = np.searchsorted(quotes, np.flatnonzero(part == BREAK)) & 1
+                odds = np.flatnonzero(_ODD[part])
+                letters = odds[_ODD[part[odds]] == _LETTER]
+                spelled = _IN_NUMBER[np.where(letters > 0, part[letters - 1], before)]
                 opens = ~_BEFORE[np.concatenate(([before], part[:-1]))[quotes]]
                 odd = int(counts[0]) & 1
-                seen = [len(quotes), (within != odd).sum(), (within == odd).sum(), opens[odd::2].sum(), opens[1 - odd :: 2].sum()]
+                seen = [len(quotes), (within != odd).sum(), (within == odd).sum(), opens[odd::2].sum(), opens[1 - odd :: 2].sum(), len(odds) - len(letters) + spelled.sum()]
                 counts += np.array(seen)
                 before = data[-1] if data else before
             rows.append((path, start, *counts.tolist()))
@@ -84,24 +98,33 @@ class QuotedBreaks:
     def __init__(self, spark: SparkSession, paths: list[str]):
         self.spark = spark
         self.kind: dict[str, str] = {}
+        self.odd: set[str] | None = None  # not known
         if not paths or not reachable(paths[0]):
             return
         ship_package(spark)
         self.folder = scratch_dir(spark, "quotes")
         _ranges(spark, paths).select("path", "start", "end").mapInArrow(_look, _LOOK).write.parquet(self.folder)
-        files = self.looked_at().groupBy("path").agg(F.sum("inside").alias("inside"), F.sum("stray").alias("stray"), F.sum("quotes").alias("quotes"))
+        files = self.looked_at().groupBy("path").agg(F.sum("inside").alias("inside"), F.sum("stray").alias("stray"), F.sum("quotes").alias("quotes"), F.sum("odd").alias("odd"))
         # Files with line breaks within quotes, of paths that the driver knows.
-        torn = files.where("inside > 0 OR quotes % 2 = 1").collect()
-        self.kind = {plain_uri(r.path): WHOLE if r.stray or r.path.endswith(COMPRESSED) else SPLIT for r in torn}
+        found = files.selectExpr("*", "inside > 0 OR quotes % 2 = 1 AS torn").where("torn OR odd > 0").collect()
+        self.kind = {plain_uri(r.path): WHOLE if r.stray or r.path.endswith(COMPRESSED) else SPLIT for r in found if r.torn}
+        self.odd = {plain_uri(r.path) for r in found if r.odd}
 
     def kind_of(self, path: str) -> str | None:
         return self.kind.get(plain_uri(path))
 
+    def plain_numbers(self, path: str) -> bool:
+        """Whether Spark's reader takes no spelling of numbers in the lines of this file but decimal
+        ones, blanks around them, and those that are not finite."""
+        if self.odd is None or path.endswith(_PACKED):
+            return False
+        return plain_uri(path) not in self.odd and self.kind_of(path) is None
+
     def looked_at(self) -> DataFrame:
         """Ranges with ``open`` (1: it begins within quotes) and what then holds."""
         earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
         rows = self.spark.read.schema(_LOOK).parquet(self.folder).withColumn("open", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-        return rows.selectExpr("path", "start", "open", "quotes", "if(open = 0, inside_0, inside_1) AS inside", "if(open = 0, stray_0, stray_1) AS stray")
+        return rows.selectExpr("path", "start", "open", "quotes", "if(open = 0, inside_0, inside_1) AS inside", "if(open = 0, stray_0, stray_1) AS stray", "odd")
 
     def records(self, names: tuple[str, ...], paths: list[str], malformed: str) -> DataFrame:
         """Records of files of the kind ``split``, as text columns ``names`` and ``malformed``,

@@ -7,6 +7,7 @@ import pytest
 
 from builders import BIRD, csv_text, write_sources
 from monthfusion.contracts import COUNTY_MONTH
+from monthfusion.operators import validate
 from monthfusion.operators.validate import (
     digest,
     ValidationFailed,
@@ -178,3 +179,39 @@ def test_conflicts_are_found_in_every_column(spark, tmp_path):
     for c in ("Bird", *BIRD.files.numeric_columns):
         for other in ("7.25", "" if c != "Bird" else "9"):
             assert "1 conflicting county-month groups" in refused(spark, bird_file(tmp_path, {c: "7"}, {c: other}))
+
+
+def test_plain_numbers_need_no_look_at_texts(spark, tmp_path, monkeypatch):
+    """Sound files of plain numbers are read as numbers, with the report that texts give."""
+    rows = ({}, {"Bird": "+2.0", "tp_1m_shift": ""}, {"Month": "9", "County": " Straße "}, {"Month": "9.5", "County": "STRASSE", "FIPS": " 1e0\t"})
+    rows = (rows[0], {**rows[1], "County": "cook"}, *({**r, "FIPS": "1"} if "FIPS" not in r else r for r in rows[2:]))
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files" / "a.csv").write_text(csv_text("Bird", *rows), encoding="utf-8")
+    (tmp_path / "files" / "b.csv").write_text(csv_text("Bird", {"Month": "10"}, without=("src_1m_shift",)), encoding="utf-8")
+    folder = str(tmp_path / "files")
+    by_text = validate.assert_valid(read_text(spark, folder), BIRD, folder).first()
+    monkeypatch.setattr(validate, "parsed", None)
+    assert validate_source(spark, folder, BIRD).first() == by_text
+    assert (by_text.raw_rows, by_text.unique_county_months, by_text.incomplete_metadata_rows) == (5, 4, 2)
+
+
+@pytest.mark.parametrize("spelling", ["2d", "2.F", "0x1p1", "\x012", "2\x00", "Infinity", "+nan", "2-", "1__0"])
+def test_spellings_that_only_the_reader_takes_are_refused(spark, tmp_path, spelling):
+    for column in ("Bird", "tp_1m_shift"):
+        assert f"in '{column}'" in refused(spark, bird_file(tmp_path, {}, {"Month": "9", column: spelling}))
+
+
+@pytest.mark.parametrize("spelling", [" 2\t", "2.", "+2", "0_2", "\x0b2", "\u20032", "2e0", '"2"', '" 2"'])
+def test_all_spellings_of_a_number_are_equal(spark, tmp_path, spelling):
+    assert report(spark, bird_file(tmp_path, {}, {"Bird": spelling, "County": "Adams"}))["duplicate_rows"] == 1
+
+
+def test_lines_of_another_length_are_read_as_before(spark, tmp_path):
+    """A line that has too many cells keeps its values; one that ends early lacks some."""
+    text = csv_text("Bird", {}, {"Month": "9"}).splitlines()
+    path = tmp_path / "bird.csv"
+    path.write_text("\n".join([*text[:2], text[2] + ",more"]) + "\n")
+    assert report(spark, str(path)) == validate.assert_valid(read_text(spark, str(path)), BIRD, str(path)).first().asDict()
+    last = text[0].split(",")[-1]
+    path.write_text("\n".join([*text[:2], ",".join(text[2].split(",")[:-1])]) + "\n")
+    assert f"1 rows empty_required in '{last}'" in refused(spark, str(path))
