@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from monthfusion.contracts import FusionContract, SourceContract
 from monthfusion.functions import literal, quoted
-from monthfusion.functions.keys import county_fold
+from monthfusion.functions.keys import county_key
 from monthfusion.functions.numbers import finite, is_blank, spelled, whole
 from monthfusion.sources.csv_files import MALFORMED, file_paths, headers, scan_groups, scan_numbers
 from monthfusion.sources.quoted import QuotedBreaks
@@ -81,13 +81,13 @@ def parsed(df: DataFrame, source: SourceContract) -> DataFrame:
 
     Steps of their own, so that each text is read once however many rules look
     at its number.  Code for so many columns in one method of a generated stage would be
-    too long for the JVM to compile.  A function of an array has no generated code, so
-    Spark evaluates this step by itself and in several methods; the county's is one.
+    too long for the JVM to compile.  The county's has a part without generated code,
+    so Spark evaluates this step by itself and in several methods.
     """
     read = df.selectExpr(
         "*",
         *(f"{spelled(_text(df, c))} AS {quoted('v_' + c)}" for c in _numeric(source)),
-        f"transform(array({_text(df, 'County')}), c -> {county_fold('c')})[0] AS county_key",
+        f"{county_key(_text(df, 'County'))} AS county_key",
     )
     values = {f"v_{c}" for c in _numeric(source)}
     return read.selectExpr(*(f"{finite(quoted(c))} AS {quoted(c)}" if c in values else quoted(c) for c in read.columns))
@@ -319,7 +319,7 @@ def _plain_report(df: DataFrame, source: SourceContract, path: str) -> DataFrame
     """
     seen = Observation()
     numbers = [f"CAST({_text(df, c)} AS DOUBLE) AS {quoted('v_' + c)}" for c in _numeric(source)]
-    county = f"transform(array({_text(df, 'County')}), c -> {county_fold('c')})[0] AS county_key"
+    county = f"{county_key(_text(df, 'County'))} AS county_key"
     value = [quoted("v_" + c) for c in _numeric(source)]
     required = [quoted("v_" + c) for c in ("Year", "Month", source.outcome)]
     sound = " AND ".join(

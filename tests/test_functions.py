@@ -6,7 +6,7 @@ import math
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from monthfusion.functions.keys import WHITE_SPACE, county_fold, county_title, month_start, strip
+from monthfusion.functions.keys import WHITE_SPACE, county_fold, county_key, county_title, month_start, strip
 from monthfusion.functions.numbers import cast_text, is_blank, number, whole
 
 
@@ -27,6 +27,13 @@ def test_county_fold_equals_casefold(spark):
     assert evaluate(spark, texts, county_fold("c")) == [t.strip().casefold() for t in texts]
 
 
+def test_county_key_equals_fold(spark):
+    """Each character below U+3100 alone, within and around a name, and no name at all."""
+    chars = [chr(c) for c in range(0x3100)]
+    texts = [None, "", " ", " DE KALB ", *chars, *(f"{c}St. Clair{c}" for c in chars), *(f" A{c}Z " for c in chars)]
+    assert evaluate(spark, texts, county_key("c")) == evaluate(spark, texts, county_fold("c"))
+
+
 def test_white_space_is_pythons():
     assert set(WHITE_SPACE) == {chr(c) for c in range(0x10000) if chr(c).isspace()}
 
